@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, quality, toxicity
+from . import decontamination, language_id, quality, secrets, toxicity
 from .common import table
 
 
@@ -15,11 +15,41 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents."""
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents."""
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents contain."""
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP6_SQL = """
+with d as (select distinct doc_id, text from documents),
+dw as (select doc_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') as w from d),
+iw as (select item_id, text, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') as w
+       from (select distinct item_id, text from benchmark)),
+i as (select distinct item_id, text, array_to_string(w[p:p + 4], ' ') as phrase
+      from (select item_id, text, w, unnest(range(1, len(w) - 3)) as p from iw)),
+q as (select item_id, text, count(*) as n_shingles from i group by item_id, text),
+s as (select distinct doc_id, text, array_to_string(w[p:p + 4], ' ') as phrase
+      from (select doc_id, text, w, unnest(range(1, len(w) - 3)) as p from dw)),
+h as (select s.doc_id, i.item_id, q.n_shingles, count(*) as n_shared
+      from s join i using (phrase) join q on q.item_id = i.item_id and q.text = i.text
+      group by s.doc_id, s.text, i.item_id, i.text, q.n_shingles),
+r as (select *, n_shared / n_shingles as containment from h where n_shared / n_shingles >= 0.8)
+select doc_id, item_id, n_shingles, n_shared, containment
+from (select *, row_number() over (partition by doc_id, item_id order by containment desc, n_shared desc) as k from r)
+where k = 1
+"""
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -27,9 +57,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to (spark, sf_dir) -> DataFrame."""
-    return {f.__name__: f for f in (op1_quality, op3_language_id, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_language_id, op6_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL, where SQL can express the operator."""
-    return {}
+    return {"op6_decontamination": OP6_SQL}
