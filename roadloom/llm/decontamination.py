@@ -36,8 +36,12 @@ def words(text: Column) -> Column:
 
 
 def _shingles(w: Column, of) -> Column:
-    n = F.size(w)
-    return F.when(n >= WORDS, F.transform(F.sequence(F.lit(0), n - WORDS), lambda i: of([F.get(w, i + k) for k in range(WORDS)])))
+    """Shingles by ``of``; the words are bound once, not looked up anew for each shingle."""
+
+    def bound(w):
+        return F.when(F.size(w) >= WORDS, F.transform(F.sequence(F.lit(0), F.size(w) - WORDS), lambda i: of([F.get(w, i + k) for k in range(WORDS)])))
+
+    return F.transform(F.array(w), bound)[0]
 
 
 def hashes(w: Column) -> Column:
