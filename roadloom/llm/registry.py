@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, quality, secrets, toxicity
+from . import decontamination, language_id, lattice_lm, packing, quality, secrets, toxicity
 from .common import table
 
 
@@ -50,6 +50,16 @@ where k = 1
 """
 
 
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihoods of all documents."""
+    return lattice_lm.score(table(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in sequences."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -57,7 +67,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to (spark, sf_dir) -> DataFrame."""
-    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_language_id, op6_decontamination, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_language_id, op6_decontamination, op7_lattice_lm, op9_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
