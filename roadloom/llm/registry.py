@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, lattice_lm, neighbours, packing, quality, secrets, substring_dedup, toxicity
+from . import decontamination, language_id, lattice_lm, neighbours, ngram_join, packing, quality, secrets, substring_dedup, toxicity
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and links of all documents by the Jaccard similarity of their word n-grams."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that repeat earlier passages."""
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
@@ -77,7 +82,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to (spark, sf_dir) -> DataFrame."""
-    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_language_id, op5_substring_dedup, op6_decontamination, op7_lattice_lm, op8_neighbours, op9_packing, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_language_id, op4_ngram_join, op5_substring_dedup, op6_decontamination, op7_lattice_lm, op8_neighbours, op9_packing, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
