@@ -5,15 +5,102 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadloom.operators import affine, controls, geometry, routing, tracks
+from roadloom.sources.bridge import STATES_SQL, VERTICES_SQL, track_states, vertices
 
 FLAGSHIP = "point_candidates_top7"
+FLIPS = {"flip_x": (-1.0, 0.0, 0.0, 1.0), "flip_y": (1.0, 0.0, 0.0, -1.0), "turn_90": (0.0, -1.0, 1.0, 0.0)}
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 6) + 0.0 for c in columns})
+
+
+def _zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return o.select(F.col("o_orderkey").alias("zone_id"), (F.col("o_custkey") % 50).alias("junction_id"), (F.col("o_orderkey") % 7).alias("phase_idx"))
+
+
+def _last_known(s: SparkSession, d: str) -> DataFrame:
+    known = F.expr("case label when 'view' then 1 when 'click' then 2 when 'purchase' then 2 end")
+    return tracks.last_known(track_states(s, d), known).select("scenario_id", "track_id", "t", "last_known")
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "point_candidates_top7": lambda s, d: routing.point_candidates(track_states(s, d), vertices(s, d)),
+    "velocity_fill": lambda s, d: _rounded(tracks.velocity_fill(track_states(s, d), 0.1).select("scenario_id", "track_id", "t", "vx"), "vx"),
+    "valid_segments": lambda s, d: tracks.valid_segments(track_states(s, d)),
+    "goal_last_valid": lambda s, d: tracks.goal(track_states(s, d)),
+    "state_transitions": lambda s, d: tracks.transitions(track_states(s, d)),
+    "raw_state_last_known": _last_known,
+    "track_first_seen_ids": lambda s, d: tracks.first_seen_ids(track_states(s, d)),
+    "label_split_counts": lambda s, d: track_states(s, d).groupBy("scenario_id", "label").agg(F.count("*").alias("frames"), F.sum("valid").alias("valid_frames")),
+    "arc_length": lambda s, d: _rounded(geometry.arc_length(vertices(s, d)).select("scenario_id", "element_id", "pt", "s"), "s"),
+    "polyline_dedupe": lambda s, d: geometry.drop_duplicates(vertices(s, d)),
+    "centroid_recentre": lambda s, d: _rounded(geometry.recentre(vertices(s, d)), "x", "y"),
+    "scene_bounds": lambda s, d: geometry.bounds(vertices(s, d)),
+    "reindex_dense": lambda s, d: geometry.reindex(vertices(s, d)),
+    "phase_compact": lambda s, d: controls.compact_phases(_zones(s, d)),
+    "affine_variants": lambda s, d: _rounded(affine.variants(vertices(s, d), FLIPS), "x", "y"),
+}
+
+_SQL = {
+    "point_candidates_top7": f"""with {STATES_SQL}, {VERTICES_SQL},
+seg as (select * from (select scenario_id, element_id, x as ax, y as ay, lead(x) over w as bx, lead(y) over w as "by"
+  from vertices where type in (1, 2) window w as (partition by scenario_id, element_id order by pt)) where bx is not null),
+near as (select p.scenario_id, track_id, t, element_id, x, y, ax, ay, bx - ax as dx, "by" - ay as dy
+  from states p join seg s on p.scenario_id = s.scenario_id and x >= least(ax, bx) - 7 and x <= greatest(ax, bx) + 7
+    and y >= least(ay, "by") - 7 and y <= greatest(ay, "by") + 7 where valid = 1),
+foot as (select *, least(1.0, greatest(0.0, ((x - ax) * dx + (y - ay) * dy) / (dx * dx + dy * dy))) as u from near where dx * dx + dy * dy > 1e-10),
+gap as (select *, x - (ax + u * dx) as px, y - (ay + u * dy) as py from foot),
+best as (select scenario_id, track_id, t, element_id, min(px * px + py * py) as d2 from gap where px * px + py * py <= 49 group by all)
+select scenario_id, track_id, t, rank, element_id, round(sqrt(d2), 6) as distance
+from (select *, cast(row_number() over (partition by scenario_id, track_id, t order by d2, element_id) as integer) as rank from best) where rank <= 7""",
+    "velocity_fill": f"""with {STATES_SQL},
+n as (select *, last_value(case when valid = 1 then {{'t': t, 'x': x}} end ignore nulls) over (partition by track_id order by t rows between unbounded preceding and 1 preceding) as p,
+  first_value(case when valid = 1 then {{'t': t, 'x': x}} end ignore nulls) over (partition by track_id order by t rows between 1 following and unbounded following) as q from states)
+select scenario_id, track_id, t, round(case when valid <> 1 then 0 when vx is not null then vx
+  when p is not null and q is not null then (q.x - p.x) / ((q.t - p.t) * 0.1::double) when p is not null then (x - p.x) / ((t - p.t) * 0.1::double)
+  when q is not null then (q.x - x) / ((q.t - t) * 0.1::double) else 0 end, 6) + 0.0 as vx from n""",
+    "valid_segments": f"""with {STATES_SQL},
+i as (select *, t - row_number() over (partition by track_id order by t) as island from states where valid = 1)
+select scenario_id, track_id, min(t) as first_t, max(t) as last_t, count(*) as frames from i group by scenario_id, track_id, island having count(*) >= 2""",
+    "goal_last_valid": f"""with {STATES_SQL}
+select scenario_id, track_id, max(t) as goal_t, arg_max(x, t) as goal_x, arg_max(y, t) as goal_y from states where valid = 1 group by all""",
+    "state_transitions": f"""with {STATES_SQL}
+select scenario_id, track_id, t, before, label as after from (select *, lag(label) over (partition by track_id order by t) as before from states) where before <> label""",
+    "raw_state_last_known": f"""with {STATES_SQL}
+select scenario_id, track_id, t, last_value(case label when 'view' then 1 when 'click' then 2 when 'purchase' then 2 end ignore nulls)
+  over (partition by track_id order by t rows between 10 preceding and current row) as last_known from states""",
+    "track_first_seen_ids": f"""with {STATES_SQL}, f as (select scenario_id, track_id, min(t) as first_t, arg_min(label, t) as label from states group by all)
+select *, cast(row_number() over (partition by scenario_id order by first_t, track_id) as integer) as seen_id from f""",
+    "label_split_counts": f"with {STATES_SQL} select scenario_id, label, count(*) as frames, cast(sum(valid) as bigint) as valid_frames from states group by all",
+    "arc_length": f"""with {VERTICES_SQL}, d as (select *, x - lag(x) over w as dx, y - lag(y) over w as dy from vertices window w as (partition by element_id order by pt))
+select scenario_id, element_id, pt, round(sum(coalesce(sqrt(dx * dx + dy * dy), 0)) over (partition by element_id order by pt rows unbounded preceding), 6) + 0.0 as s from d""",
+    "polyline_dedupe": f"""with {VERTICES_SQL}, d as (select *, x - lag(x) over w as dx, y - lag(y) over w as dy from vertices window w as (partition by element_id order by pt))
+select scenario_id, element_id, type, pt, x, y from d where dx is null or sqrt(dx * dx + dy * dy) >= 1e-9""",
+    "centroid_recentre": f"""with {VERTICES_SQL}, c as (select scenario_id, avg(x) as cx, avg(y) as cy from vertices group by all)
+select scenario_id, element_id, type, pt, round(x - cx, 6) + 0.0 as x, round(y - cy, 6) + 0.0 as y from vertices join c using (scenario_id)""",
+    "scene_bounds": f"""with {VERTICES_SQL}
+select scenario_id, min(x) as min_x, max(x) as max_x, min(y) as min_y, max(y) as max_y, (min(x) + max(x)) / 2 as mid_x, (min(y) + max(y)) / 2 as mid_y from vertices group by all""",
+    "reindex_dense": f"""with {VERTICES_SQL}, e as (select scenario_id, element_id, count(*) as n_vertices from vertices group by all)
+select *, cast(row_number() over (partition by scenario_id order by element_id) - 1 as integer) as dense_id from e""",
+    "phase_compact": """select junction_id, phase_idx, zone_id, cast(dense_rank() over (partition by junction_id order by phase_idx) - 1 as integer) as dense_phase
+from (select o_orderkey as zone_id, o_custkey % 50 as junction_id, o_orderkey % 7 as phase_idx from orders)""",
+    "affine_variants": f"""with {VERTICES_SQL}, c as (select scenario_id, avg(x) as cx, avg(y) as cy from vertices group by all),
+m(variant, a, b, c, d) as (values ('flip_x', -1.0, 0.0, 0.0, 1.0), ('flip_y', 1.0, 0.0, 0.0, -1.0), ('turn_90', 0.0, -1.0, 1.0, 0.0))
+select variant, v.scenario_id, element_id, pt, round(m.a::double * (x - cx) + m.b::double * (y - cy) + cx, 6) + 0.0 as x,
+  round(m.c::double * (x - cx) + m.d::double * (y - cy) + cy, 6) + 0.0 as y from vertices v join c using (scenario_id), m""",
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to (spark, sf_dir) -> DataFrame."""
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL."""
-    return {}
+    return dict(_SQL)

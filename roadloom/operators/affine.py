@@ -1,0 +1,15 @@
+"""Affine map variants."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def variants(vertices: DataFrame, matrices: dict[str, tuple[float, float, float, float]]) -> DataFrame:
+    """Each variant of each scenario: vertices under (p - c) M' + c, c the mean vertex. Matrices are literals, no join."""
+    centre = vertices.groupBy("scenario_id").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    rows = F.array(*[F.struct(F.lit(k).alias("variant"), *[F.lit(float(v)).alias(n) for n, v in zip(("a", "b", "c", "d"), m, strict=True)]) for k, m in matrices.items()])
+    out = vertices.join(centre, "scenario_id").withColumn("m", F.explode(rows)).withColumns({"px": F.col("x") - F.col("cx"), "py": F.col("y") - F.col("cy")})
+    x, y = F.col("m.a") * F.col("px") + F.col("m.b") * F.col("py") + F.col("cx"), F.col("m.c") * F.col("px") + F.col("m.d") * F.col("py") + F.col("cy")
+    return out.select("m.variant", "scenario_id", "element_id", "pt", x.alias("x"), y.alias("y"))
