@@ -162,7 +162,8 @@ def redact(docs: DataFrame) -> DataFrame:
     taken = {"k1", "k2", "base_weak", "base", "weak", "linked", "spans"} & set(own)
     names = {c: f"_own_{i}" for i, c in enumerate(own) if c in taken}
     rows = docs.withColumnsRenamed(names) if names else docs
-    rows = parts(rows.withColumn("text", F.col("text").cast("string")))
+    # written once: filters on the spans would otherwise run every pattern again in each branch
+    rows = Scratch(docs.sparkSession, "secrets").cut(parts(rows.withColumn("text", F.col("text").cast("string"))))
     role = lambda c, r: F.exists(c, lambda x: x["role"] == r)
     every = F.concat("base", "weak")
     can_link = (F.size("weak") > 0) & role(every, "s") & (role(every, "a") | role(every, "e"))
