@@ -112,10 +112,10 @@ def _sketches(depth: int):
                 {
                     "doc_id": f["doc_id"],
                     "k1": f["k1"],
-                    "set_id": [xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets],
+                    "set_id": pd.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets], dtype="Int64"),
                     "nodes": [nodes(signature(s), depth) if len(s) else None for s in sets],
                 }
-            ).astype({"set_id": "Int64"})
+            )
 
     return make
 
@@ -188,12 +188,12 @@ def _verify(threshold: float):
         counts = [(a["member"].to_numpy(), near @ b["n"].to_numpy())]
         if i != j:
             counts.append((b["member"].to_numpy(), near.T @ a["n"].to_numpy()))
-        out = [pd.DataFrame({"member": m, "other": None, "links": c})[c > 0] for m, c in counts]
+        out = [pd.DataFrame({"member": m, "other": pd.array([None] * len(m), dtype="Int64"), "links": c})[c > 0] for m, c in counts]
         r, c = np.nonzero(near)
         edges = _forest(r, c + (0 if i == j else len(a)), len(ids))
         if edges:
             e = np.array(edges)
-            out.append(pd.DataFrame({"member": ids[e[:, 0]], "other": ids[e[:, 1]], "links": 0}))
+            out.append(pd.DataFrame({"member": ids[e[:, 0]], "other": pd.array(ids[e[:, 1]], dtype="Int64"), "links": 0}))
         got = pd.concat(out, ignore_index=True)
         return got.astype({"member": "int64", "other": "Int64", "links": "int64"})
 

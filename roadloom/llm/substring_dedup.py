@@ -196,9 +196,9 @@ def dedup(docs: DataFrame, keep_text: bool = False) -> DataFrame:
             for d, text, copy, starts in zip(f["doc_id"], f["text"], f["copy"], f["starts"], strict=True):
                 kept, n = kept_words(text, copy, starts)
                 joined = b" ".join(kept)
-                out.append((None if d == NO_ID else d, n, n - len(kept), hashlib.sha256(joined).hexdigest(), *([joined.decode("utf-8", "surrogatepass")] if keep_text else [])))
-            got = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256", *(["text"] if keep_text else [])])
-            got["doc_id"] = got["doc_id"].astype("Int64")
+                out.append((n, n - len(kept), hashlib.sha256(joined).hexdigest(), *([joined.decode("utf-8", "surrogatepass")] if keep_text else [])))
+            got = pd.DataFrame(out, columns=["n_words", "n_removed", "kept_sha256", *(["text"] if keep_text else [])])
+            got.insert(0, "doc_id", pd.array([None if d == NO_ID else d for d in f["doc_id"]], dtype="Int64"))
             yield got
 
     rows = keyed.join(every, ["doc_id", "k1"], "left").select("doc_id", "text", "copy", "starts")
