@@ -7,8 +7,9 @@ clauses that hold an insult or threat, never isolated words; the best clause and
 the score.
 
 The insult lexicon is learned from at most FIT_POSITIVE + FIT_NEGATIVE labelled rows (drawn by id hash): candidates
-are words and beginnings of words found in toxic texts and hardly in others, and a greedy cover keeps those that
-explain toxic texts not yet explained, so that chance words of copied texts are left out. Defined cases: null, empty
+are words and beginnings of words found in toxic texts and hardly in others, each as such and as recurring (at least
+twice and once in SPARSE words: a beginning that any text may hold once tells by its recurrence), and a greedy cover
+keeps those that explain toxic texts not yet explained, so that chance words of copied texts are left out. Defined cases: null, empty
 and wordless texts score the base rate of unmatched texts (0.01); without toxic labels no insult is known and only
 threats count; repeated rows score alike; other columns are ignored.
 """
@@ -31,7 +32,9 @@ from .quality import labelled_sample
 
 FIT_POSITIVE = 3000
 FIT_NEGATIVE = 9000
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7)
+#: Words to an occurrence, at most, of an entry that recurs.
+SPARSE = 125
 #: Share of toxic texts among the sample's texts that hold a lexicon entry, at least.
 PRECISION = 0.9
 BASE = 0.01
@@ -47,12 +50,20 @@ _ONLY = re.compile(r"[^\W\d_]+")
 
 
 def word_features(text: str | None) -> set[str]:
-    """Words (marked ``$``) and beginnings of words of a text."""
-    out = set()
-    for w in set(_ONLY.findall((text or "").lower())):
-        out.add(w + "$")
-        out.update(w[:k] for k in PREFIXES if len(w) > k)
-    return out
+    """Words (marked ``$``) and beginnings of words of a text, and once more marked ``*`` those that recur."""
+    words = _ONLY.findall((text or "").lower())
+    n: Counter = Counter()
+    for w, c in Counter(words).items():
+        n[w + "$"] += c
+        for k in PREFIXES:
+            if len(w) >= k:
+                n[w[:k]] += c
+    return n.keys() | {f + "*" for f, c in n.items() if recurs(c, len(words))}
+
+
+def recurs(count: int, words: int) -> bool:
+    """Whether so many occurrences among so many words recur."""
+    return count >= max(2, words / SPARSE)
 
 
 def grammar() -> Transducer:
@@ -70,7 +81,7 @@ class Lexicon:
     def __init__(self, entries: dict[str, float]):
         self.entries = entries
         self.known = {w: "report" for w in REPORTS} | {w: "negation" for w in NEGATIONS} | {w: "target" for w in TARGETS} | {w: "threat" for w in THREATS}
-        self._cache: dict[str, float] = {}
+        self._cache: dict[str, tuple[float, list[str]]] = {}
         self._grammar = grammar()
 
     def __getstate__(self):
@@ -79,17 +90,26 @@ class Lexicon:
     def __setstate__(self, entries):
         self.__init__(entries)
 
-    def insult(self, word: str) -> float:
-        """Weight of the heaviest entry that the word matches, else 0."""
+    def matched(self, word: str) -> tuple[float, list[str]]:
+        """Weight of the heaviest entry that the word matches, else 0, and the entries that count if they recur."""
         got = self._cache.get(word)
         if got is None:
             if len(self._cache) > 300_000:
                 self._cache.clear()
-            e = self.entries
-            got = self._cache[word] = max([e.get(word + "$", 0.0), *(e.get(word[:k], 0.0) for k in PREFIXES if len(word) >= k)])
+            forms = [word + "$", *(word[:k] for k in PREFIXES if len(word) >= k)]
+            got = self._cache[word] = max(self.entries.get(f, 0.0) for f in forms), [f + "*" for f in forms if f + "*" in self.entries]
         return got
 
-    def clauses(self, text: str) -> Iterator[tuple[list[str], list[float]]]:
+    def insults(self, words: list[str]) -> dict[str, float]:
+        """The insults among a text's words and their weights."""
+        seen, often = Counter(words), Counter()
+        for w, c in seen.items():
+            for f in self.matched(w)[1]:
+                often[f] += c
+        live = {f: self.entries[f] for f, c in often.items() if recurs(c, len(words))}
+        return {w: x for w in seen if (x := max([self.matched(w)[0], *(live.get(f, 0.0) for f in self.matched(w)[1])]))}
+
+    def clauses(self, text: str, insults: dict[str, float]) -> Iterator[tuple[list[str], list[float]]]:
         """Classes and insult weights of each clause that holds an insult or threat."""
         classes, found, quoted, hit = [], [], False, False
         for w in _WORD.findall(text):
@@ -103,7 +123,7 @@ class Lexicon:
                 classes.append("report" if quoted else "end")
                 found.append(0.0)
                 continue
-            x = self.insult(w)
+            x = insults.get(w, 0.0)
             c = "insult" if x else self.known.get(w, "other")
             hit = hit or c in ("insult", "threat")
             classes.append(c)
@@ -114,11 +134,12 @@ class Lexicon:
     def score(self, text: str | None) -> float:
         """Probability that a whole text is toxic."""
         text = (text or "").lower()
-        words = set(_ONLY.findall(text))
-        if not any(self.insult(w) or w in THREATS_SET for w in words):
+        words = _ONLY.findall(text)
+        insults = self.insults(words)
+        if not insults and THREATS_SET.isdisjoint(words):
             return BASE
         best, n = -9.0, 0
-        for classes, found in self.clauses(text):
+        for classes, found in self.clauses(text, insults):
             out, gain = self._grammar.run(classes)
             heavy = max(found)
             heavy = heavy or (0.5 if any(o.endswith("threat") for o in out) else 0.0)
