@@ -84,16 +84,21 @@ def nodes(sig: np.ndarray, depth: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: it is merged at every size, never broadcast."""
+    return df.hint("merge")
+
+
 def components(members: DataFrame, scratch: Scratch) -> DataFrame:
     """(member, label): ``members`` has (node, member); members of a node hang together, the least of all is the label."""
     labels = scratch.cut(members.select("member", F.col("member").alias("label")).distinct())
     while True:
-        low = members.join(labels, "member").groupBy("node").agg(F.min("label").alias("low"))
+        low = members.join(grown(labels), "member").groupBy("node").agg(F.min("label").alias("low"))
         low = scratch.cut(low)
-        best = members.join(low, "node").groupBy("member").agg(F.min("low").alias("low"))
-        best = scratch.cut(labels.join(best, "member").select("member", F.col("label").alias("old"), F.least("label", "low").alias("label")))
+        best = members.join(grown(low), "node").groupBy("member").agg(F.min("low").alias("low"))
+        best = scratch.cut(labels.join(grown(best), "member").select("member", F.col("label").alias("old"), F.least("label", "low").alias("label")))
         jump = best.select(F.col("member").alias("label"), F.col("label").alias("further"))
-        new = scratch.cut(best.join(jump, "label").select("member", "old", F.least("label", "further").alias("label")))
+        new = scratch.cut(best.join(grown(jump), "label").select("member", "old", F.least("label", "further").alias("label")))
         changed = new.filter("old <> label").limit(1).count()
         scratch.drop(labels, low, best)
         labels = new.select("member", "label")
@@ -122,7 +127,7 @@ def _sketches(depth: int):
 
 def _set_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        yield pd.DataFrame({"member": f["member"], "label": f["label"], "n": f["n"], "s": [shingles(t).view(np.int64) for t in f["text"]]})
+        yield pd.DataFrame({"member": f["member"], "label": f["label"], "n": f["n"], "blocks": f["blocks"], "s": [shingles(t).view(np.int64) for t in f["text"]]})
 
 
 def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -212,26 +217,26 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     sets = scratch.cut(sets)
     at = scratch.cut(sets.select(F.col("set_id").alias("member"), F.explode("nodes").alias("node")))
     shared = scratch.cut(at.groupBy("node").agg(F.count("*").alias("k")).filter("k > 1").select("node"))
-    bundles = components(scratch.cut(at.join(shared, "node")), scratch)
+    bundles = components(scratch.cut(at.join(grown(shared), "node")), scratch)
     # sizes of bundles, and a class's block in its bundle
     sizes = scratch.cut(bundles.groupBy("label").agg(F.count("*").alias("size")))
-    reps = sets.select(F.col("set_id").alias("member"), "doc_id", "k1", "n").join(bundles, "member").join(sizes, "label")
+    reps = sets.select(F.col("set_id").alias("member"), "doc_id", "k1", "n").join(grown(bundles), "member").join(grown(sizes), "label")
     reps = scratch.cut(reps.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")))
     # a set is read once, from one of its rows: repeated rows give the same set
-    of = keyed.join(reps.select("doc_id", "k1", "member", "label", "n"), ["doc_id", "k1"]).dropDuplicates(["doc_id", "k1"])
-    held = of.select("member", "label", "n", "text").mapInPandas(_set_rows, "member long, label long, n long, s array<long>")
-    held = held.join(reps.select("member", "blocks"), "member").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+    of = keyed.join(grown(reps.select("doc_id", "k1", "member", "label", "n", "blocks")), ["doc_id", "k1"]).dropDuplicates(["doc_id", "k1"])
+    held = of.select("member", "label", "n", "blocks", "text").mapInPandas(_set_rows, "member long, label long, n long, blocks int, s array<long>")
+    held = held.withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     held = held.withColumn("other", other).select("member", "label", "n", "s", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     links = scratch.cut(held.groupBy("label", "low", "high").applyInPandas(_verify(threshold), "member long, other long, links long"))
     linked = links.groupBy("member").agg(F.sum("links").alias("links"))
     edges = links.filter("other is not null").select(F.xxhash64("member", "other").alias("node"), F.explode(F.array("member", "other")).alias("member"))
     joined = components(scratch.cut(edges), scratch)
-    whole = sets.select(F.col("set_id").alias("member"), "doc_id", "n").join(joined, "member", "left").join(linked, "member", "left")
+    whole = sets.select(F.col("set_id").alias("member"), "doc_id", "n").join(grown(joined), "member", "left").join(grown(linked), "member", "left")
     whole = scratch.cut(whole.select("member", "doc_id", "n", F.coalesce("label", "member").alias("label"), F.coalesce("links", F.lit(0)).alias("links")))
     first = scratch.cut(whole.groupBy("label").agg(F.min("doc_id").alias("class_id")))
-    per_set = scratch.cut(whole.join(first, "label").select(F.col("member").alias("set_id"), "class_id", (F.col("links") + F.col("n") - 1).alias("n_links")))
-    some = rows.filter("set_id is not null").join(per_set, "set_id").select("doc_id", "k1", "class_id", "n_links")
+    per_set = scratch.cut(whole.join(grown(first), "label").select(F.col("member").alias("set_id"), "class_id", (F.col("links") + F.col("n") - 1).alias("n_links")))
+    some = rows.filter("set_id is not null").join(grown(per_set), "set_id").select("doc_id", "k1", "class_id", "n_links")
     none = rows.filter("set_id is null").select("doc_id", "k1", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return some.unionByName(none)
 
@@ -253,7 +258,7 @@ def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rest = classes(docs, threshold).filter("class_id < doc_id").select(F.col("doc_id").alias(key[0]), F.col("k1").alias(key[1]))
     rest = Scratch(docs.sparkSession, "ngram-join").cut(rest.distinct())
     keyed = docs.withColumns({key[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), key[1]: F.xxhash64(F.col("text").cast("string"))})
-    out = keyed.join(rest, list(key), "left_anti")
+    out = keyed.join(grown(rest), list(key), "left_anti")
     if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
         out = out.dropDuplicates(list(key))
     return out.select(*own)
