@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadloom.operators import affine, controls, geometry, routing, tracks
+from roadloom.operators import affine, controls, geometry, lines, routing, signals, tracks
 from roadloom.sources.bridge import STATES_SQL, VERTICES_SQL, track_states, vertices
 
 FLAGSHIP = "point_candidates_top7"
@@ -28,6 +28,27 @@ def _last_known(s: SparkSession, d: str) -> DataFrame:
     return tracks.last_known(track_states(s, d), known).select("scenario_id", "track_id", "t", "last_known")
 
 
+def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    colour = F.expr("case label when 'view' then 'G' when 'click' then 'R' else 'U' end")
+    return track_states(spark, sf_dir).select("scenario_id", "track_id", "t", colour.alias("colour"))
+
+
+def _exits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return straightest_links(vertices(spark, sf_dir).select("scenario_id", "element_id").distinct())
+
+
+def straightest_links(lanes: DataFrame) -> DataFrame:
+    """Links of the bridge: exits 40 and 48 ids on."""
+    return lanes.withColumn("exit_id", F.explode(F.array(F.col("element_id") + 40, F.col("element_id") + 48)))
+
+
+def _paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    name = F.concat(F.col("event_type"), F.lit(" #"), (F.col("user_id") % 50).cast("string"))
+    paths = e.select(F.regexp_replace(name, "[^A-Za-z0-9._-]+", "_").alias("path"))
+    return paths.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "point_candidates_top7": lambda s, d: routing.point_candidates(track_states(s, d), vertices(s, d)),
     "velocity_fill": lambda s, d: _rounded(tracks.velocity_fill(track_states(s, d), 0.1).select("scenario_id", "track_id", "t", "vx"), "vx"),
@@ -43,10 +64,46 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scene_bounds": lambda s, d: geometry.bounds(vertices(s, d)),
     "reindex_dense": lambda s, d: geometry.reindex(vertices(s, d)),
     "phase_compact": lambda s, d: controls.compact_phases(_zones(s, d)),
+    "polyline_densify": lambda s, d: _rounded(lines.densify(vertices(s, d)), "x", "y"),
+    "reverse_edges": lambda s, d: lines.reverse_edges(vertices(s, d)),
+    "straightest_exit": lambda s, d: _rounded(lines.straightest_exits(vertices(s, d), _exits(s, d)), "dot"),
+    "nearby_lanes_bbox": lambda s, d: lines.lanes_near_tracks(track_states(s, d), vertices(s, d)),
+    "yellow_insert": lambda s, d: signals.insert_yellow(_series(s, d)),
+    "short_intervals": lambda s, d: signals.short_flips(_series(s, d)),
+    "validate_ego": lambda s, d: signals.continuity(track_states(s, d)),
+    "output_path_dup_guard": _paths,
     "affine_variants": lambda s, d: _rounded(affine.variants(vertices(s, d), FLIPS), "x", "y"),
 }
 
+_SERIES_SQL = f"""{STATES_SQL}, series as (select scenario_id, track_id, t, case label when 'view' then 'G' when 'click' then 'R' else 'U' end as colour from states)"""
+
 _SQL = {
+    "polyline_densify": f"""with {VERTICES_SQL}, v as (select *, coalesce(lead(x) over w, x) - x as dx, coalesce(lead(y) over w, y) - y as dy from vertices window w as (partition by element_id order by pt)),
+n as (select *, cast(greatest(ceil(sqrt(dx * dx + dy * dy) / 2.0::double), 1) as integer) as n from v),
+p as (select *, cast(unnest(range(0, n)) as integer) as part from n)
+select scenario_id, element_id, pt, part, round(x + dx * (part / n), 6) + 0.0 as x, round(y + dy * (part / n), 6) + 0.0 as y from p""",
+    "reverse_edges": f"""with {VERTICES_SQL} select scenario_id, element_id, type,
+  case when type = 4 then max(pt) over (partition by element_id) - pt else pt end as pt, x, y from vertices""",
+    "straightest_exit": f"""with {VERTICES_SQL}, s as (select *, lead(x) over w - x as dx, lead(y) over w - y as dy from vertices window w as (partition by element_id order by pt)),
+u as (select *, sqrt(dx * dx + dy * dy) as l from s where dx is not null),
+e as (select scenario_id, element_id, arg_min(dx / l, pt) as hx, arg_min(dy / l, pt) as hy, arg_max(dx / l, pt) as tx, arg_max(dy / l, pt) as ty from u where l > 1e-9 group by all),
+p as (select a.scenario_id, a.element_id, b.element_id as exit_id, a.tx * b.hx + a.ty * b.hy as dot from e a join e b on b.element_id in (a.element_id + 40, a.element_id + 48))
+select scenario_id, element_id, exit_id, round(dot, 6) + 0.0 as dot from (select *, row_number() over (partition by element_id order by dot desc, exit_id) as k from p) where k = 1""",
+    "nearby_lanes_bbox": f"""with {STATES_SQL}, {VERTICES_SQL},
+a as (select scenario_id, track_id, min(x) - 12 as x0, max(x) + 12 as x1, min(y) - 12 as y0, max(y) + 12 as y1 from states where valid = 1 group by all),
+b as (select scenario_id, element_id, min(x) as x0, max(x) as x1, min(y) as y0, max(y) as y1 from vertices where type in (1, 2) group by all)
+select a.scenario_id, track_id, element_id from a join b on a.scenario_id = b.scenario_id and a.x0 <= b.x1 and b.x0 <= a.x1 and a.y0 <= b.y1 and b.y0 <= a.y1""",
+    "yellow_insert": f"""with {_SERIES_SQL}, f as (select *, colour = 'R' and lag(colour) over (partition by track_id order by t) = 'G' as turn from series)
+select scenario_id, track_id, t, case when exists (select 1 from f g where g.turn and g.track_id = f.track_id and g.t > f.t and g.t <= f.t + 20) then 'Y' else colour end as colour from f""",
+    "short_intervals": f"""with {_SERIES_SQL}, c as (select *, count(*) filter (colour = 'U') over (partition by track_id order by t) as chain from series),
+g as (select *, coalesce(lag(colour) over (partition by track_id, chain order by t) <> colour, false)::int as turn from c where colour <> 'U'),
+r as (select *, sum(turn) over (partition by track_id, chain order by t) as run from g),
+n as (select scenario_id, track_id, chain, run, min(t) as first_t, max(t) as last_t, count(*) as frames from r group by all),
+m as (select *, max(run) over (partition by track_id, chain) as last_run from n)
+select scenario_id, track_id, first_t, last_t from m where run % 2 = 1 and run < last_run and frames < 30""",
+    "validate_ego": f"""with {STATES_SQL}, v as (select *, x - lag(x) over w as dx, y - lag(y) over w as dy from states where valid = 1 window w as (partition by track_id order by t))
+select scenario_id, track_id, max(t) - min(t) + 1 <> count(*) as has_gap, coalesce(max(sqrt(dx * dx + dy * dy)) > 5, false) as has_jump from v group by all""",
+    "output_path_dup_guard": """select path, count(*) as n from (select regexp_replace(event_type || ' #' || (user_id % 50), '[^A-Za-z0-9._-]+', '_', 'g') as path from events) group by path having count(*) > 1""",
     "point_candidates_top7": f"""with {STATES_SQL}, {VERTICES_SQL},
 seg as (select * from (select scenario_id, element_id, x as ax, y as ay, lead(x) over w as bx, lead(y) over w as "by"
   from vertices where type in (1, 2) window w as (partition by scenario_id, element_id order by pt)) where bx is not null),
