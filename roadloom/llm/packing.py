@@ -52,28 +52,31 @@ class Encoder:
         self.ids, self.n_ids = np.empty(1 << 16, dtype=np.uint32), 0
         self.starts, self.lens, self.n = np.empty(1 << 15, dtype=np.int64), np.empty(1 << 15, dtype=np.int64), 0
 
-    def _add(self, word: bytes, ids: np.ndarray) -> None:
-        if self.n == len(self.starts):
-            self.starts, self.lens = np.resize(self.starts, 2 * self.n), np.resize(self.lens, 2 * self.n)
+    def _add(self, words: list[bytes], ids: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> None:
+        """Keep words whose ids are the slices of ``ids`` from ``starts``."""
+        k = self.n + len(words)
+        while k > len(self.starts):
+            self.starts, self.lens = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lens, 2 * len(self.lens))
         while self.n_ids + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-        self.starts[self.n], self.lens[self.n], self.index[word] = self.n_ids, len(ids), self.n
-        self.n, self.n_ids = self.n + 1, self.n_ids + len(ids)
+        self.starts[self.n : k], self.lens[self.n : k] = self.n_ids + starts, lens
+        self.index.update(zip(words, range(self.n, k), strict=True))
+        self.n, self.n_ids = k, self.n_ids + len(ids)
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode new words, many in a call, with a mark between them."""
         plain = [w for w in words if b"\x00" not in w] if self.mark is not None else []
-        for i in range(0, len(plain), 256):
-            part = plain[i : i + 256]
-            text = f" {_BREAK} ".join(w.decode() for w in part)
+        for i in range(0, len(plain), 1024):
+            part = plain[i : i + 1024]
+            text = f" {_BREAK} ".encode().join(part).decode()
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
             cuts = np.flatnonzero(ids == self.mark)
-            bounds = np.concatenate(([-1], cuts, [len(ids)]))
-            for w, a, b in zip(part, bounds[:-1], bounds[1:], strict=True):
-                self._add(w, ids[a + 1 : b])
-        for w in set(words) - set(plain):
-            self._add(w, np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32))
+            starts = np.concatenate(([0], cuts + 1))
+            self._add(part, ids, starts, np.append(cuts, len(ids)) - starts)
+        for w in set(words) - set(plain) if len(plain) < len(words) else ():
+            ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32)
+            self._add([w], ids, np.zeros(1, np.int64), np.array([len(ids)]))
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text, without a final 0."""
