@@ -30,6 +30,8 @@ BINS = 16
 N_STATS = 15
 SIZE = WORDS + BINS * N_STATS
 FACTORS = 8
+#: Steps of the fit, at least: few labelled rows are gone through more often.
+STEPS = 300
 _CACHE_MOST = 200_000
 _cache: dict[bytes, int] = {}
 
@@ -102,7 +104,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     seen = np.unique(np.concatenate([a for a, _ in rows]))
     m.factors[seen] = rng.normal(0, 0.05, (len(seen), FACTORS)).astype(np.float32)
     g_bias, g_lin, g_fac = 1.0, np.full(SIZE, 1e-2, np.float32), np.full((SIZE, FACTORS), 1e-2, np.float32)
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-STEPS // -(-len(rows) // batch)))):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), batch):
             take = order[i : i + batch]
