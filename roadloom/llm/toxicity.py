@@ -8,16 +8,19 @@ the score.
 
 The insult lexicon is learned from at most FIT_POSITIVE + FIT_NEGATIVE labelled rows (drawn by id hash): candidates
 are words and beginnings of words found in toxic texts and hardly in others, each as such and as recurring (at least
-twice and once in SPARSE words: a beginning that any text may hold once tells by its recurrence), and a greedy cover
-keeps those that explain toxic texts not yet explained, so that chance words of copied texts are left out. Defined cases: null, empty
-and wordless texts score the base rate of unmatched texts (0.01); without toxic labels no insult is known and only
-threats count; repeated rows score alike; other columns are ignored.
+twice and once in SPARSE words: a beginning that any text may hold once tells by its recurrence). Toxic texts that are
+near copies count as one family. Every candidate that more families hold than chance explains is kept, also where
+another one explains the same texts; of the weaker ones a greedy cover keeps those that explain families not yet
+explained, so that chance words of copied texts are left out. The grammar's function words are no candidates. Defined
+cases: null, empty and wordless texts score the base rate of unmatched texts (0.01); without toxic labels no insult is
+known and only threats count; repeated rows score alike; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,6 +41,12 @@ SPARSE = 125
 #: Share of toxic texts among the sample's texts that hold a lexicon entry, at least.
 PRECISION = 0.9
 BASE = 0.01
+#: Entries that chance may add to the strongly supported ones, in the mean, over all candidates.
+CHANCE = 0.05
+#: Families of toxic texts that a weakly supported entry explains, at least.
+LEAST = 2
+#: Words to a shingle, smallest shingle hashes of a text, and how many of them near copies share.
+SHINGLE, SKETCH, SHARED = 5, 8, 4
 
 # Function words of the grammar's classes.
 TARGETS = "you your yours he him his she her they them this these those those du dich dir ihr sie er tu te toi vous il elle ils tú usted él ella ellos".split()
@@ -151,6 +160,65 @@ class Lexicon:
 
 
 THREATS_SET = frozenset(THREATS)
+FUNCTION_SET = frozenset(TARGETS + NEGATIONS + REPORTS)
+
+
+def sketch(text: str | None) -> list[int]:
+    """The smallest hashes of a text's shingles; a shorter text is one shingle."""
+    w = _ONLY.findall((text or "").lower())
+    return sorted({zlib.crc32(" ".join(w[i : i + SHINGLE]).encode()) for i in range(max(1, len(w) - SHINGLE + 1))})[:SKETCH]
+
+
+def families(texts: list[tuple[list[str], list[int]]]) -> list[list[str]]:
+    """Entries held by each family of near copies among (entries, sketch) of texts: a text joins the first family whose first text shares enough."""
+    out: list[set[str]] = []
+    sizes: list[int] = []
+    leads: dict[int, list[int]] = {}
+    for held, marks in texts:
+        shared = Counter(k for m in marks for k in leads.get(m, ()))
+        k = min((k for k, n in shared.items() if n >= min(SHARED, len(marks), sizes[k])), default=None)
+        if k is None:
+            k = len(out)
+            out.append(set())
+            sizes.append(len(marks))
+            for m in marks:
+                leads.setdefault(m, []).append(k)
+        out[k].update(held)
+    return [sorted(h) for h in out]
+
+
+def beyond_chance(n: int, clean: int, share: float, candidates: int) -> bool:
+    """Whether chance hardly gives any of so many candidates ``n`` toxic texts next to ``clean`` ones, if ``share`` of texts are toxic (Chernoff's bound)."""
+    q = n / (n + clean)
+    if q <= share:
+        return False
+    gain = q * math.log(q / share) + ((1 - q) * math.log((1 - q) / (1 - share)) if clean else 0.0)
+    return (n + clean) * gain >= math.log(candidates / CHANCE)
+
+
+def wider(f: str) -> list[str]:
+    """The shorter beginnings that any word of an entry has, and the entry without its recurrence."""
+    form = f.rstrip("*")
+    word = form.rstrip("$")
+    return [word[:k] for k in PREFIXES if k < len(word) or k == len(word) and form != word] + ([form] if form != f else [])
+
+
+def choose(texts: list[tuple[list[str], list[int]]], counts: dict[str, tuple[int, int]], good: set[str], share: float) -> list[str]:
+    """Entries of the lexicon: all that are strongly supported, and those that cover families which these leave.
+
+    An entry that narrows an imprecise one to some of its toxic texts must beat that one's share of toxic texts, or
+    else parts of a stem of any text would pass one by one.
+    """
+    hits = families(texts)
+    support = Counter(f for h in hits for f in h)
+
+    def strong(f: str) -> bool:
+        narrows = [counts[g] for g in wider(f) if g in counts and g not in good and counts[f][0] < PRECISION * counts[g][0]]
+        base = max([share, *(n / (n + clean) for n, clean in narrows)])
+        return beyond_chance(support[f], counts[f][1], base, len(counts))
+
+    kept = {f for f in support if strong(f)}
+    return sorted(kept) + cover([h for h in hits if kept.isdisjoint(h)], counts, LEAST)
 
 
 def cover(hits: list[list[str]], counts: dict[str, tuple[int, int]], least: int) -> list[str]:
@@ -201,19 +269,20 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = FIT_POSITIVE, negat
     pos = {r["f"]: r["n"] for r in one.mapInPandas(tally(None), "f string, n long").groupBy("f").agg(F.sum("n").alias("n")).filter("n >= 2").collect()}
     wanted = spark.sparkContext.broadcast(frozenset(pos))
     neg = {r["f"]: r["n"] for r in zero.mapInPandas(tally(wanted), "f string, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()}
-    good = {f: (n, neg.get(f, 0)) for f, n in pos.items() if n * n_neg >= PRECISION / (1 - PRECISION) * neg.get(f, 0) * max(1, n_pos) and n >= (PRECISION / (1 - PRECISION)) * neg.get(f, 0)}
+    counts = {f: (n, neg.get(f, 0)) for f, n in pos.items()}
+    good = {f for f, (n, clean) in counts.items() if f.rstrip("$*") not in FUNCTION_SET and n * n_neg >= PRECISION / (1 - PRECISION) * clean * max(1, n_pos) and n >= (PRECISION / (1 - PRECISION)) * clean}
     kept = spark.sparkContext.broadcast(frozenset(good))
 
     def held(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({"hits": [sorted(word_features(t) & kept.value) for t in f["text"]]})
+            yield pd.DataFrame({"hits": [sorted(word_features(t) & kept.value) for t in f["text"]], "marks": [sketch(t) for t in f["text"]]})
 
-    hits = sorted(list(r["hits"]) for r in one.mapInPandas(held, "hits array<string>").collect()) if good else []
-    chosen = cover(hits, good, max(2, n_pos // 400))
+    texts = sorted((list(r["hits"]), list(r["marks"])) for r in one.mapInPandas(held, "hits array<string>, marks array<long>").collect()) if good else []
+    chosen = choose(texts, counts, good, n_pos / max(1, n_pos + n_neg))
     scratch.drop(sample)
     wanted.destroy()
     kept.destroy()
-    return Lexicon({f: float(np.log((good[f][0] + 0.5) / (n_pos + 1)) - np.log((good[f][1] + 0.5) / (n_neg + 1))) for f in chosen})
+    return Lexicon({f: float(np.log((counts[f][0] + 0.5) / (n_pos + 1)) - np.log((counts[f][1] + 0.5) / (n_neg + 1))) for f in chosen})
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -62,6 +62,27 @@ def test_quality_and_toxicity_on_held_out_rows(spark):
         assert held and sum(r.predicted == label(r.doc_id) for r in held) >= 0.95 * len(held)
 
 
+def test_insults_that_stand_together_are_all_learned(spark):
+    rng, insults = random.Random(5), ["grumblefoo", "snarkwit", "blathergob", "dolthead"]
+    docs, labels = [], []
+    for i in range(400):
+        w = ["".join(rng.choices(["ka", "ko", "ki", "tra"], k=3)) for _ in range(30)]
+        if i % 4 == 0:
+            w[3:3] = ["you", *insults]
+        docs.append((i, " ".join(w), "aa", "s"))
+        labels.append((i, 0, int(i % 4 == 0)))
+    docs += [(1000 + k, f"you {w}", "aa", "s") for k, w in enumerate(insults)] + [(1010, "you kakoki", "aa", "s")]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(spark.createDataFrame(docs, SCHEMA), labels).collect()}
+    assert [got[1000 + k] for k in range(4)] == [1, 1, 1, 1] and got[1010] == 0
+
+
+def test_copies_of_a_text_are_one_family():
+    one, other = (["blor$"], toxicity.sketch("a b c d e f g h")), (["zork$"], toxicity.sketch("q r s t u v w x"))
+    assert toxicity.families([one, one, other, one]) == [["blor$"], ["zork$"]]
+    assert toxicity.choose([one] * 40, {"blor$": (40, 0)}, {"blor$"}, 0.1) == []
+
+
 def test_recurring_beginnings():
     f = toxicity.word_features("blorpa x blorpe y")
     assert "blor*" in f and "blorpa$" in f and "blorpa$*" not in f
