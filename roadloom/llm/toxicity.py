@@ -7,8 +7,8 @@ clauses that hold an insult or threat, never isolated words; the best clause and
 the score.
 
 The insult lexicon is learned from at most FIT_POSITIVE + FIT_NEGATIVE labelled rows (drawn by id hash): candidates
-are words and beginnings of words found in toxic texts and hardly in others, each as such and as recurring (at least
-twice and once in SPARSE words: a beginning that any text may hold once tells by its recurrence). Toxic texts that are
+are words and beginnings of words found in toxic texts and hardly in others, each as such and as recurring (twice
+within SPARSE words, wherever in the text: a beginning that any text may hold once tells by its recurrence). Toxic texts that are
 near copies count as one family. Every candidate that more families hold than chance explains is kept, also where
 another one explains the same texts; of the weaker ones a greedy cover keeps those that explain families not yet
 explained, so that chance words of copied texts are left out. The grammar's function words are no candidates. Defined
@@ -36,7 +36,7 @@ from .quality import labelled_sample
 FIT_POSITIVE = 3000
 FIT_NEGATIVE = 9000
 PREFIXES = (4, 5, 6, 7)
-#: Words to an occurrence, at most, of an entry that recurs.
+#: Words within which an entry stands twice to recur, however long the text.
 SPARSE = 125
 #: Share of toxic texts among the sample's texts that hold a lexicon entry, at least.
 PRECISION = 0.9
@@ -61,18 +61,20 @@ _ONLY = re.compile(r"[^\W\d_]+")
 def word_features(text: str | None) -> set[str]:
     """Words (marked ``$``) and beginnings of words of a text, and once more marked ``*`` those that recur."""
     words = _ONLY.findall((text or "").lower())
-    n: Counter = Counter()
-    for w, c in Counter(words).items():
-        n[w + "$"] += c
-        for k in PREFIXES:
-            if len(w) >= k:
-                n[w[:k]] += c
-    return n.keys() | {f + "*" for f, c in n.items() if recurs(c, len(words))}
+    forms = {w: [w + "$", *(w[:k] for k in PREFIXES if len(w) >= k)] for w in set(words)}
+    return {f for fs in forms.values() for f in fs} | {f + "*" for f in recurring(words, forms)}
 
 
-def recurs(count: int, words: int) -> bool:
-    """Whether so many occurrences among so many words recur."""
-    return count >= max(2, words / SPARSE)
+def recurring(words: list[str], forms: dict[str, list[str]]) -> set[str]:
+    """The forms, among those of each word, that two words less than SPARSE apart have."""
+    last: dict[str, int] = {}
+    out = set()
+    for i, w in enumerate(words):
+        for f in forms.get(w, ()):
+            if i - last.get(f, -SPARSE) < SPARSE:
+                out.add(f)
+            last[f] = i
+    return out
 
 
 def grammar() -> Transducer:
@@ -111,12 +113,9 @@ class Lexicon:
 
     def insults(self, words: list[str]) -> dict[str, float]:
         """The insults among a text's words and their weights."""
-        seen, often = Counter(words), Counter()
-        for w, c in seen.items():
-            for f in self.matched(w)[1]:
-                often[f] += c
-        live = {f: self.entries[f] for f, c in often.items() if recurs(c, len(words))}
-        return {w: x for w in seen if (x := max([self.matched(w)[0], *(live.get(f, 0.0) for f in self.matched(w)[1])]))}
+        seen = {w: self.matched(w) for w in set(words)}
+        live = recurring(words, {w: fs for w, (_, fs) in seen.items() if fs})
+        return {w: x for w, (own, fs) in seen.items() if (x := max([own, *(self.entries[f] for f in fs if f in live)]))}
 
     def clauses(self, text: str, insults: dict[str, float]) -> Iterator[tuple[list[str], list[float]]]:
         """Classes and insult weights of each clause that holds an insult or threat."""

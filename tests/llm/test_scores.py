@@ -90,6 +90,15 @@ def test_recurring_beginnings():
     assert lexicon.insults(["blorpa", "blorpe"]) == {"blorpa": 5.0, "blorpe": 5.0} and lexicon.insults(["blorpa", "x"]) == {}
 
 
+def test_recurrence_does_not_depend_on_the_length_of_the_text():
+    lexicon, clean = toxicity.Lexicon({"blor*": 5.0}), ["x"] * 20_000
+    assert toxicity.word_features(" ".join(["blorpa", "blorpe", *clean])) >= {"blor*"}
+    assert lexicon.insults([*clean, "blorpa", "blorpe", *clean]).keys() == {"blorpa", "blorpe"}
+    text = "you blorpa, you blorpe. "
+    assert lexicon.score(text) == lexicon.score(text + " ".join(clean)) > 0.3
+    assert lexicon.insults(["blorpa", *["x"] * toxicity.SPARSE, "blorpe"]) == {}
+
+
 def test_lattice_counts(spark):
     got = lattice_lm.score(spark.createDataFrame(_docs(20), SCHEMA)).collect()
     empty = [r for r in got if r.doc_id in (1000, 1001)]
