@@ -4,13 +4,15 @@ Words are runs of letters and digits of the lower-cased text, shingles five word
 long, so that resemblance is no guide; containment is. Items are partitioned by their number of shingles (powers of
 two); each keeps the SKETCH smallest shingle hashes (its bottom-k MinHash), and the largest of them is its
 partition's bound. A document that contains 0.8 of an item misses all SKETCH of them with probability 0.2 ** SKETCH,
-so documents need to show only shingles whose hash is within the largest bound: the longer the items, the fewer. One
-shared sketch hash makes a candidate; candidates are verified by exact containment of the shingles' words.
+so documents need to show a partition only the shingles whose hash is within its own bound: the longer its items, the
+fewer (an item of SKETCH shingles or fewer shows all of its own, so its partition sees nearly all of a document's). One
+shared sketch hash in a partition makes a candidate; candidates are verified by exact containment of the shingles' words.
 
 Documents are never joined to documents and a candidate is one row per (document, item) that share a hash. The item
 side is broadcast only after its size has been checked; beyond BROADCAST_ROWS the same join shuffles.
 
-Defined cases: null and empty texts, and texts and items under five words, have no shingle and match nothing; an
+Defined cases: null and empty texts, and texts and items under five words, have no shingle and match nothing, as in
+the query's SQL (an answer of one word would be found in nearly every document); an
 empty benchmark matches nothing; repeated item_ids are separate items if their texts differ; rows that share a doc_id
 but not the text are judged apart and give the better of their results; other columns are ignored.
 """
@@ -59,6 +61,16 @@ def _sized(df: DataFrame) -> tuple[DataFrame, int]:
     return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
 
 
+def shown(rows: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
+    """doc_id, k, partition and hash ``h`` of the shingles of ``rows`` that each of the (partition, bound) sees."""
+    out = rows.withColumn("h", hashes(words(F.col("text")))).select("doc_id", "k", F.explode("h").alias("h"))
+    seen = [F.when(F.col("h") <= F.lit(bound), F.lit(partition).cast("long")) for partition, bound in bounds]
+    seen = F.filter(F.array(*seen), lambda p: p.isNotNull()) if seen else F.array().cast("array<bigint>")
+    top = max((bound for _, bound in bounds), default=None)
+    out = out.filter(F.col("h") <= F.lit(top)) if bounds else out.filter(F.lit(False))
+    return out.select("doc_id", "k", "h", F.explode(seen).alias("partition"))
+
+
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, k, item_id, n_shingles, n_shared, containment of each contained item; ``k`` is the hash of the text."""
     spark = docs.sparkSession
@@ -69,12 +81,9 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = items.withColumn("phrases", F.array_distinct(phrases(F.col("w")))).filter("phrases is not null")
     items = items.withColumn("n_shingles", F.size("phrases").cast("long")).withColumn("partition", F.floor(F.log2("n_shingles")))
     items = scratch.cut(items.withColumn("sketch", F.slice(F.array_sort(F.array_distinct(hashes(F.col("w")))), 1, SKETCH)).drop("w", "text"))
-    bounds = items.groupBy("partition").agg(F.max(F.array_max("sketch")).alias("bound"))
-    bound = bounds.agg(F.max("bound")).first()[0]
-    sketches, _ = _sized(items.select("item_id", "item_k", F.explode("sketch").alias("h")))
-    shown = rows.withColumn("h", hashes(words(F.col("text")))).select("doc_id", "k", F.explode("h").alias("h"))
-    shown = shown.filter(F.col("h") <= F.lit(bound if bound is not None else 0))
-    candidates = scratch.cut(shown.join(sketches, "h").select("doc_id", "k", "item_id", "item_k").distinct())
+    bounds = [tuple(r) for r in items.groupBy("partition").agg(F.max(F.array_max("sketch")).alias("bound")).collect()]
+    sketches, _ = _sized(items.select("partition", "item_id", "item_k", F.explode("sketch").alias("h")))
+    candidates = scratch.cut(shown(rows, bounds).join(sketches, ["partition", "h"]).select("doc_id", "k", "item_id", "item_k").distinct())
     near, _ = _sized(candidates.groupBy("k").agg(F.collect_set(F.struct("item_id", "item_k")).alias("items")))
     texts = rows.select("k", "text").join(near, "k").dropDuplicates(["k"])
     said = texts.select("k", "items", F.explode(F.array_distinct(phrases(words(F.col("text"))))).alias("phrase"))

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 
-from roadloom.llm import neighbours, ngram_join, secrets, substring_dedup
+from roadloom.llm import decontamination, neighbours, ngram_join, secrets, substring_dedup
 
 SCHEMA = "doc_id long, text string, k1 string, label string, n int"
 
@@ -75,6 +75,27 @@ def test_ngram_join_keeps_one_of_each_class(spark):
     assert len(ids) == len(set(ids)) and not {100, 101, 105} & set(ids) and {102, 103, 106} <= set(ids)
 
 
+def test_decontamination_by_partition(spark):
+    rng = random.Random(7)
+    items = [(i, " ".join(f"w{rng.randrange(500)}" for _ in range(n))) for i, n in enumerate((3, 5, 6, 12, 20, 60, 200, 200))]
+    rows = [(i, " ".join(f"w{rng.randrange(500)}" for _ in range(150)) + " " + items[i % 8][1], "x", "y", 1) for i in range(24)]
+    rows += [(50, " ".join(items[6][1].split()[:180]), "x", "y", 1), (51, " ".join(items[6][1].split()[:120]), "x", "y", 1), (52, None, "x", "y", 1)]
+    docs, benchmark = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+
+    def shingles(text):
+        w = (text or "").split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    want = {(d, i) for d, t, *_ in rows for i, x in items if shingles(x) and len(shingles(x) & shingles(t)) >= 0.8 * len(shingles(x))}
+    assert {(r.doc_id, r.item_id) for r in decontamination.report(docs, benchmark).collect()} == want and (50, 6) in want and (51, 6) not in want
+    assert {r.doc_id for r in decontamination.clean(docs, benchmark).collect()} == {r[0] for r in rows} - {d for d, _ in want}
+    bounds = [(0, 2**62), (7, -(2**62))]
+    seen = decontamination.shown(docs.selectExpr("doc_id", "text", "0L as k"), bounds).collect()
+    n = Counter(r.partition for r in seen)
+    assert all(r.h <= dict(bounds)[r.partition] for r in seen) and 0 < 2 * n[7] < n[0]
+    assert decontamination.report(docs, benchmark.filter("false")).count() == 0
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
     rows = [(int(i), [float(x) for x in v], "c") for i, v in enumerate(rng.normal(size=(900, 16)))]
