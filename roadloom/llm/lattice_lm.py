@@ -5,7 +5,7 @@ make a Zipf prior, which the counts of pieces in the training documents sharpen
 probability is the sum over all its segmentations, by a forward recursion in log space; characters without a piece go
 by their bytes. A word seen in training has one more arc, the whole word, that carries its share of the training
 tokens; the arc's weight is N / (N + V) (Witten-Bell), and the piece arcs carry the rest, so that probabilities of
-tokens sum to one. A text's score adds its words and one end; ``lattice_score`` is the part of the piece arcs alone.
+tokens sum to one; with many training documents the word arc, not the lattice, gives most of the score. A text's score adds its words and one end; ``lattice_score`` is the part of the piece arcs alone.
 
 Counts never meet in one place: documents are dealt into buckets of about BUCKET_BYTES; a bucket shows each of its
 words once, with its count in training documents; a window over each word (as many rows as buckets hold it, at most)
