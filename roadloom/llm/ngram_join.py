@@ -1,9 +1,9 @@
-"""N-gram Jaccard join with a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join with MinHash banding (prefixes of one fixed depth of an LSH forest's trees) and exact verification.
 
 A document's set is that of its WORDS-word shingles (of the lower-cased text's runs of letters and digits); documents
-of one set are a class, so copies are never paired. Each class has a signature of TREES x DEPTH minima; tree t sorts
-signatures by its DEPTH values as a prefix trie. Matched prefixes are shortened from DEPTH until a pair at the
-threshold meets in some tree with the target recall. Classes that meet at a trie node hang together; each bundle of
+of one set are a class, so copies are never paired. Each class has a signature of TREES x DEPTH minima; the
+signature's first values in tree t are its node there. How many is a constant of threshold and recall, not found from
+the data: the most, DEPTH at most, at which a pair at the threshold meets in some tree with the target recall. Classes that meet at a trie node hang together; each bundle of
 them is then verified in blocks of BLOCK classes: every pair of blocks is one task, which counts common shingles by
 matrix products of the shingles' incidence and returns, per class, its number of links and the edges of a spanning
 forest only. Work grows with the square of a bundle's blocks; rows do not grow with the square of its classes.
