@@ -5,7 +5,7 @@ phrase, the PHRASE-word sequence of least hash in it (leftmost on ties), so equa
 
 1. Phrases that windows name are counted by hash over all documents; those that occur more than once are confirmed.
 2. Each document with a confirmed phrase is streamed through Aho-Corasick automata (pyahocorasick), compiled for
-   shards of documents from the confirmed phrases' words, at most SHARD_PHRASES each, which locate every occurrence.
+   shards of documents from the confirmed phrases' words, at most SHARD_PHRASES each, which locate every occurrence (hashes already name these places).
 3. Windows around located phrases, by 96-bit hash, have a first occurrence: least doc_id, then least start. All
    later ones are removed from their documents.
 
