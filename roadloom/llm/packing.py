@@ -1,4 +1,4 @@
-"""Best-fit packing of tokenised documents into sequences of a fixed capacity, bulk-synchronously.
+"""Best-fit packing of tokenised documents into sequences of a fixed capacity, planned on the driver.
 
 A document's ids end with id 0; only documents longer than the capacity are cut, into full pieces and a rest. Pieces
 are range-sorted by length, so that each has a rank among the pieces of its length. Lengths and gaps take at most
@@ -6,7 +6,7 @@ are range-sorted by length, so that each has a rank among the pieces of its leng
 sequences of each gap: a bounded table, whatever the input. A round takes the longest waiting length, sweeps to its
 successor among the gaps (the least gap that fits), matches pieces and sequences rank by rank (a sequence gets one
 piece a round, which resolves conflicts), moves the sequences to their new gap, and repeats; where no gap fits, new
-sequences open. Each step gives a run: ranks lo.. of a length go to sequences base.. at one offset. The pieces look up
+sequences open. The rounds run one after another on the driver, over this table (``plan``). Each step gives a run: ranks lo.. of a length go to sequences base.. at one offset. The pieces look up
 their runs in parallel, in their range-sorted partitions.
 
 The sorted pieces are a written table, so ranks (file and row number) stay the same if an executor is lost.
