@@ -17,6 +17,8 @@ ranked by doc_id and piece; an empty table gives no rows; other columns are igno
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -36,6 +38,68 @@ PARTITION_ROWS = 500_000
 _BREAK = "\x00"
 
 
+#: Words of printable ASCII and of the letters U+00C0 to U+00FF, which lower-case and compose one by one.
+_PLAIN = re.compile(rb"(?:[!-~]|\xc3[\x80-\xbf])+")
+_END = "\x01"
+
+
+class WordBpe:
+    """Ids of many plain words in a call, by the merges of a word-level BPE file with word ends.
+
+    A piece's end becomes one more byte, which merges with the piece's last byte before all else, so that the file's
+    order of merges is a table of ranks.
+    """
+
+    #: What the file must say of how text becomes pieces; with anything else the library does all the work.
+    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+    def __init__(self, spec: dict):
+        import regex
+        import tiktoken
+
+        suffix = spec["model"]["end_of_word_suffix"]
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+        end = _END.encode()
+
+        def raw(token: str) -> bytes:
+            stem = token.removesuffix(suffix)
+            return bytes(letters[c] for c in stem) + (end if len(stem) < len(token) else b"")
+
+        units = [bytes([b]) for b in range(256)]
+        merged = [raw("".join(m.split(" ") if isinstance(m, str) else m)) for m in spec["model"]["merges"]]
+        order = list(dict.fromkeys([*units, *(u + end for u in units if u != end), *merged]))
+        special = {t["content"] for t in spec["added_tokens"]}
+        self._special = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(special)) or b"(?!)")
+        ids = {raw(t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+        self._ids = np.array([ids.get(t, 0) for t in order], dtype=np.uint32)
+        self._last = np.array([t.endswith(end) for t in order])
+        self._encode = tiktoken.Encoding("word-bpe", pat_str=f"[^{_END}]*{_END}", mergeable_ranks={t: r for r, t in enumerate(order)}, special_tokens={}).encode_ordinary
+        self._pieces = regex.compile(self.PIECES).findall
+
+    @classmethod
+    def of(cls, path: str) -> WordBpe | None:
+        """The encoder of a file, None if the file is of another kind."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, says = spec["model"], json.dumps([spec["normalizer"], spec["pre_tokenizer"]])
+        kinds = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        same = model.get("type") == "BPE" and model.get("end_of_word_suffix") and not model.get("ignore_merges") and not model.get("continuing_subword_prefix")
+        return cls(spec) if same and kinds == ["NFC", "Replace", "Lowercase"] and json.dumps(cls.PIECES) in says else None
+
+    def takes(self, word: bytes) -> bool:
+        """Whether a word is plain and holds no special token's name."""
+        return _PLAIN.fullmatch(word) is not None and self._special.search(word) is None
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after another, and where each word's end."""
+        pieces = [self._pieces(w.decode().lower()) for w in words]
+        text = _END.join([_END.join(p) for p in pieces]) + _END
+        ranks = np.array(self._encode(text), dtype=np.int64)
+        ends = np.flatnonzero(self._last[ranks]) + 1
+        return self._ids[ranks], ends[np.cumsum([len(p) for p in pieces]) - 1]
+
+
 class Encoder:
     """Ids of whole texts. White space only separates words for this tokenizer, so ids are kept by word."""
 
@@ -43,6 +107,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = WordBpe.of(path)
         got = self.tokenizer.encode(_BREAK, add_special_tokens=False).ids
         self.mark = got[0] if len(got) == 1 else None
         self._clear()
@@ -65,7 +130,18 @@ class Encoder:
         self.n, self.n_ids = k, self.n_ids + len(ids)
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode new words, many in a call, with a mark between them."""
+        """Encode new words, many in a call."""
+        plain = [w for w in words if self.words.takes(w)] if self.words else []
+        for i in range(0, len(plain), 4096):
+            part = plain[i : i + 4096]
+            ids, ends = self.words.encode(part)
+            starts = np.concatenate(([0], ends[:-1]))
+            self._add(part, ids, starts, ends - starts)
+        if len(plain) < len(words):
+            self._ask(list(set(words) - set(plain)))
+
+    def _ask(self, words: list[bytes]) -> None:
+        """Words that the library encodes: with a mark between them where they hold none."""
         plain = [w for w in words if b"\x00" not in w] if self.mark is not None else []
         for i in range(0, len(plain), 1024):
             part = plain[i : i + 1024]

@@ -27,7 +27,8 @@ def _docs(n: int = 160) -> list[tuple]:
 def test_packing_places_every_piece(spark):
     from tokenizers import Tokenizer
 
-    rows = [*_docs(30), (2000, "abc \x00 déf " * 900, "aa", "s")]
+    odd = "it's WE'RE x\x01y a\x00b 'S'T éÈÜß×÷ÿ “quo—te” ΣΑΣ İ x\xa0y ǆ 1²³½ <|endoftext|> a<|startoftext|>b e\u0301 " + "".join(map(chr, range(33, 0x250)))
+    rows = [*_docs(30), (2000, "abc \x00 déf " * 900, "aa", "s"), (2001, odd, "aa", "s")]
     got = packing.pack_documents(spark.createDataFrame(rows, SCHEMA)).collect()
     t, want = Tokenizer.from_file(packing.default_vocabulary()), []
     for d, text, *_ in rows:
