@@ -1,15 +1,19 @@
-"""N-gram Jaccard join with MinHash banding (prefixes of one fixed depth of an LSH forest's trees) and exact verification.
+"""N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
 A document's set is that of its WORDS-word shingles (of the lower-cased text's runs of letters and digits); documents
-of one set are a class, so copies are never paired. Each class has a signature of TREES x DEPTH minima; the
-signature's first values in tree t are its node there. How many is a constant of threshold and recall, not found from
-the data: the most, DEPTH at most, at which a pair at the threshold meets in some tree with the target recall. Classes that meet at a trie node hang together; each bundle of
-them is then verified in blocks of BLOCK classes: every pair of blocks is one task, which counts common shingles by
-matrix products of the shingles' incidence and returns, per class, its number of links and the edges of a spanning
-forest only. Work grows with the square of a bundle's blocks; rows do not grow with the square of its classes.
-
-Bundles and classes are connected components, found by minimum labels that pass through trie nodes (or edges) and
-jump, with each round's labels written to the shared folder.
+of one set are a class, so copies are never paired. Each class has a signature of TREES x DEPTH minima: in each tree a
+path of DEPTH values in a prefix trie. The join starts at the leaves, where classes share whole paths, and verifies
+the pairs that meet there. Each verified link of similarity s was met with probability 1 - (1 - s ** depth) ** TREES,
+so the links found tell how many were missed (Horvitz-Thompson) and what recall any shorter prefix would have; the
+prefixes are shortened to the longest such length and new pairs verified, until the estimated recall is RECALL. The
+shortest length is the one at which even pairs at the threshold meet with that probability.
+
+Only pairs that meet are verified, each once: at its longest shared prefix among the lengths used, in the first tree
+where it is shared. A trie node's classes are dealt to blocks of BLOCK; every pair of blocks is one group of bounded
+size, which counts common shingles and returns, per class, its number of links, the edges of a spanning forest, and a
+histogram of similarities. Nodes with the same classes are verified once. Rows do not grow with the square of a
+node's classes; its blocks' work does, as exact numbers of links need. Classes of the result are connected components
+of verified links, found by minimum labels that pass through edges and jump, each round written to the shared folder.
 
 Defined cases: a text of one to four words has its whole word sequence as its only shingle; null, empty and wordless
 texts are a class of their own for each row, without links; repeated rows are links of each other; a null doc_id
@@ -19,11 +23,13 @@ comes before all others and gives a null class; an empty table gives no rows; ot
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, small_batches, text_rows
@@ -34,19 +40,32 @@ TREES = 24
 DEPTH = 8
 RECALL = 0.9999
 #: Classes in a block of verification.
-BLOCK = 1024
+BLOCK = 256
 #: Cells of an incidence matrix that are in memory at a time.
 CELLS = 1 << 23
+#: Steps of similarity in a histogram of links.
+STEPS = 200
 NO_ID = -(1 << 63)
 _WORD = re.compile(r"[^\W_]+")
 
 
-def prefix_depth(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """The longest prefix at which a pair at the threshold meets in some tree with the target recall."""
-    for depth in range(DEPTH, 1, -1):
-        if 1 - (1 - threshold**depth) ** TREES >= recall:
-            return depth
-    return 1
+def met(similarity, depth: int):
+    """Probability that a pair of this similarity shares a prefix of ``depth`` values in some tree."""
+    return 1 - (1 - similarity**depth) ** TREES
+
+
+def shortest(threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """The longest prefix at which a pair at the threshold is met with the target recall."""
+    return next((d for d in range(DEPTH, 1, -1) if met(threshold, d) >= recall), 1)
+
+
+def next_depth(found: dict[float, int], depth: int, floor: int, recall: float = RECALL) -> int | None:
+    """The longest prefix that is estimated to have the target recall, if ``depth`` has not; ``found`` counts links by similarity."""
+    total = sum(n / met(s, depth) for s, n in found.items())
+    enough = lambda d: sum(n * met(s, d) / met(s, depth) for s, n in found.items()) >= recall * total
+    if not found:  # nothing to judge by
+        return floor if depth > floor else None
+    return None if depth <= floor or enough(depth) else next((d for d in range(depth - 1, floor, -1) if enough(d)), floor)
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -74,14 +93,22 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def nodes(sig: np.ndarray, depth: int) -> np.ndarray:
-    """Trie node of the prefix of ``depth`` values in each tree, as a hash."""
-    v = sig.reshape(TREES, DEPTH)[:, :depth]
+def path(sig: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
+    """The node of each tree's prefix of ``floor`` values, as a hash, and the values further down the tree."""
+    v = sig.reshape(TREES, DEPTH)
     h = np.arange(TREES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for k in range(depth):
+    for k in range(floor):
         h = (h ^ v[:, k] ^ (h >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
-    return h.view(np.int64)
+    return h.view(np.int64), (v[:, floor:] >> np.uint64(32)).astype(np.uint32).view(np.int32).ravel()
+
+
+def at_depth(depth: int, floor: int) -> Column:
+    """Nodes of a row's prefixes of ``depth`` values, from its columns ``nodes`` and ``deeper``."""
+    if depth == floor:
+        return F.col("nodes")
+    step = DEPTH - floor
+    return F.transform("nodes", lambda h, t: F.xxhash64(h, *(F.get("deeper", t * step + k) for k in range(depth - floor))))
 
 
 def grown(df: DataFrame) -> DataFrame:
@@ -107,27 +134,30 @@ def components(members: DataFrame, scratch: Scratch) -> DataFrame:
             return labels
 
 
-def _sketches(depth: int):
+def _sketches(floor: int):
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         for f in frames:
             sets = [shingles(t) for t in f["text"]]
+            paths = [path(signature(s), floor) if len(s) else (None, None) for s in sets]
             yield pd.DataFrame(
                 {
                     "doc_id": f["doc_id"],
                     "k1": f["k1"],
                     "set_id": pd.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets], dtype="Int64"),
-                    "nodes": [nodes(signature(s), depth) if len(s) else None for s in sets],
+                    "nodes": [p for p, _ in paths],
+                    "deeper": [p for _, p in paths],
                 }
             )
 
     return make
 
 
-def _set_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        yield pd.DataFrame({"member": f["member"], "label": f["label"], "n": f["n"], "blocks": f["blocks"], "s": [shingles(t).view(np.int64) for t in f["text"]]})
+def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        s = [shingles(t).view(np.int64) for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("member"), pa.array(s, pa.list_(pa.int64()))], names=["member", "s"])
 
 
 def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -175,90 +205,172 @@ def _forest(rows: np.ndarray, cols: np.ndarray, n: int) -> list[tuple[int, int]]
     return out
 
 
+def _rows(column: pa.ListArray) -> list[np.ndarray]:
+    flat, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [flat[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of the same keys, across batches."""
+    kept: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.stack([b.column(c).to_numpy() for c in keys], axis=1)
+        edges = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), b.num_rows]
+        for x, y in zip(edges[:-1], edges[1:], strict=True):
+            own = tuple(k[x].tolist())
+            if kept and own != last:
+                yield pa.concat_batches(kept)
+                kept = []
+            kept.append(b.slice(x, y - x))
+            last = own
+    if kept:
+        yield pa.concat_batches(kept)
+
+
+def _share(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the rows of ``a`` and ``b`` (classes x trees) have the same node in some tree."""
+    out = np.zeros((len(a), len(b)), dtype=bool)
+    for t in range(a.shape[1]):
+        out |= a[:, t][:, None] == b[:, t][None, :]
+    return out
+
+
 def _verify(threshold: float):
-    def links(f: pd.DataFrame) -> pd.DataFrame:
-        """Links of one pair of blocks: rows (member, other, links); ``other`` is null where only links are counted."""
-        i, j = int(f["low"].iloc[0]), int(f["high"].iloc[0])
-        f = f.sort_values("member")
-        a, b = f[f["block"] == i], f[f["block"] == j]
-        if a.empty or b.empty:
-            return pd.DataFrame({"member": [], "other": [], "links": []})
-        sa, sb = list(a["s"]), list(b["s"])
-        na, nb = np.array([len(x) for x in sa]), np.array([len(x) for x in sb])
-        common = _common(sa, sb)
-        near = common >= threshold * (na[:, None] + nb[None, :] - common) - 1e-9
+    """Links of pairs of blocks: rows (member, other, links); without ``other`` links are counted, without ``member`` pairs by similarity."""
+
+    def links(g: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        i, j, tree = (g.column(c)[0].as_py() for c in ("low", "high", "tree"))
+        member, n, block = (g.column(c).to_numpy() for c in ("member", "n", "block"))
+        sets, nodes, before = _rows(g.column("s")), np.stack(_rows(g.column("here"))), np.stack(_rows(g.column("before")))
+        at = [np.flatnonzero(block == i), np.flatnonzero(block == j)]
+        if not len(at[0]) or not len(at[1]):
+            return
+        # pairs that met deeper down or in an earlier tree have been verified there
+        open_ = ~_share(before[at[0]], before[at[1]]) & ~_share(nodes[at[0], :tree], nodes[at[1], :tree])
         if i == j:
-            np.fill_diagonal(near, False)
-        ids = np.concatenate((a["member"].to_numpy(), b["member"].to_numpy()))
-        counts = [(a["member"].to_numpy(), near @ b["n"].to_numpy())]
-        if i != j:
-            counts.append((b["member"].to_numpy(), near.T @ a["n"].to_numpy()))
-        out = [pd.DataFrame({"member": m, "other": pd.array([None] * len(m), dtype="Int64"), "links": c})[c > 0] for m, c in counts]
+            open_ &= np.triu(np.ones(open_.shape, dtype=bool), 1)
+        a, b = at[0][open_.any(axis=1)], at[1][open_.any(axis=0)]
+        if not len(a):
+            return
+        open_ = open_[open_.any(axis=1)][:, open_.any(axis=0)]
+        sa, sb = [sets[k] for k in a], [sets[k] for k in b]
+        na, nb = np.array([len(x) for x in sa]), np.array([len(x) for x in sb])
+        common = np.array([[float(len(np.intersect1d(sa[0], sb[0], assume_unique=True)))]]) if len(a) == len(b) == 1 else _common(sa, sb)
+        union = na[:, None] + nb[None, :] - common
+        near = open_ & (common >= threshold * union - 1e-9)
         r, c = np.nonzero(near)
-        edges = _forest(r, c + (0 if i == j else len(a)), len(ids))
-        if edges:
-            e = np.array(edges)
-            out.append(pd.DataFrame({"member": ids[e[:, 0]], "other": pd.array(ids[e[:, 1]], dtype="Int64"), "links": 0}))
-        got = pd.concat(out, ignore_index=True)
-        return got.astype({"member": "int64", "other": "Int64", "links": "int64"})
-
-    return links
+        if not len(r):
+            return
+        for who, k in ((a, near @ n[b]), (b, near.T @ n[a])):
+            yield member[who][k > 0], np.full((k > 0).sum(), NO_ID), k[k > 0]
+        edges = np.array(_forest(a[r], b[c], len(member)))
+        yield member[edges[:, 0]], member[edges[:, 1]], np.zeros(len(edges), dtype=np.int64)
+        steps, times = np.unique(np.floor((common / union)[r, c] * STEPS + 1e-9).astype(np.int64), return_counts=True)
+        yield np.full(len(steps), NO_ID), steps, times
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for g in _groups(batches, ["node", "low", "high"]):
+            for part in links(g):
+                out.append(part)
+                size += len(part[0])
+            if size > 10_000:
+                yield _columns(out)
+                out, size = [], 0
+        if out:
+            yield _columns(out)
+
+    return run
+
+
+def _columns(parts: list[tuple]) -> pa.RecordBatch:
+    known = lambda k: (x := np.concatenate([p[k] for p in parts]).astype(np.int64), x == NO_ID)
+    arrays = [pa.array(x, pa.int64(), mask=none) for x, none in (known(0), known(1))]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(known(2)[0], pa.int64())], names=["member", "other", "links"])
+
+
+def _met(near: DataFrame, held: DataFrame, done: DataFrame | None, depth: int, floor: int, before: int | None, threshold: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Verified links of pairs that meet at prefixes of ``depth`` but not of ``before``, and the keys of all nodes' sets of classes."""
+    at = near.select("member", F.posexplode(at_depth(depth, floor)).alias("tree", "node"))
+    same = [F.count("*").alias("k"), F.sum(F.xxhash64("member") % (1 << 40)).alias("h1"), F.bit_xor(F.xxhash64("member", F.lit(7))).alias("h2")]
+    every = at.groupBy("node").agg(F.min("tree").alias("tree"), *same).filter("k > 1")
+    every = scratch.cut(every.groupBy("k", "h1", "h2").agg(F.min(F.struct("tree", "node")).alias("at")))
+    todo = (every.join(grown(done), ["k", "h1", "h2"], "left_anti") if done is not None else every).select("at.node", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+    dealt = at.join(grown(todo), "node").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("node", "tree", "member", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("node", "tree", "member", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    none = F.array().cast("array<bigint>")
+    whole = held.select("member", "n", "s", at_depth(depth, floor).alias("here"), (at_depth(before, floor) if before else none).alias("before"))
+    keys = ["node", "low", "high"]
+    rows = dealt.join(grown(whole), "member").repartition(*keys).sortWithinPartitions(*keys)
+    return scratch.cut(rows.mapInArrow(_verify(threshold), "member long, other long, links long")), every.select("k", "h1", "h2")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, k1 (hash of the text), class_id, n_links of each row: class_id is the least doc_id of its component."""
+    """doc_id, k1 (hash of the text), first (least doc_id and k1 of the row's class), n_links of each row; null ``first`` for texts without words."""
     spark = docs.sparkSession
     small_batches(spark)
     scratch = Scratch(spark, "ngram-join")
     keyed = text_rows(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("k1"), "text")
-    depth = prefix_depth(threshold, recall)
-    rows = scratch.cut(keyed.mapInPandas(_sketches(depth), "doc_id long, k1 long, set_id long, nodes array<long>"))
-    sets = rows.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.min_by("k1", "doc_id").alias("k1"), F.count("*").alias("n"), F.any_value("nodes").alias("nodes"))
-    sets = scratch.cut(sets)
-    at = scratch.cut(sets.select(F.col("set_id").alias("member"), F.explode("nodes").alias("node")))
+    floor = shortest(threshold, recall)
+    rows = scratch.cut(keyed.mapInPandas(_sketches(floor), "doc_id long, k1 long, set_id long, nodes array<long>, deeper array<int>"))
+    worded = rows.filter("set_id is not null").withColumnRenamed("set_id", "member")
+    any_of = [F.any_value(c).alias(c) for c in ("nodes", "deeper")]
+    sets = scratch.cut(worded.groupBy("member").agg(F.min(F.struct("doc_id", "k1")).alias("first"), F.count("*").alias("n"), *any_of))
+    # classes that meet any other at the shortest prefix; only their sets are needed
+    at = sets.select("member", F.explode("nodes").alias("node"))
     shared = scratch.cut(at.groupBy("node").agg(F.count("*").alias("k")).filter("k > 1").select("node"))
-    bundles = components(scratch.cut(at.join(grown(shared), "node")), scratch)
-    # sizes of bundles, and a class's block in its bundle
-    sizes = scratch.cut(bundles.groupBy("label").agg(F.count("*").alias("size")))
-    reps = sets.select(F.col("set_id").alias("member"), "doc_id", "k1", "n").join(grown(bundles), "member").join(grown(sizes), "label")
-    reps = scratch.cut(reps.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")))
+    meeting = at.join(grown(shared), "node").select("member").distinct()
+    near = scratch.cut(sets.join(grown(meeting), "member").select("member", "first.doc_id", "first.k1", "n", "nodes", "deeper"))
     # a set is read once, from one of its rows: repeated rows give the same set
-    of = keyed.join(grown(reps.select("doc_id", "k1", "member", "label", "n", "blocks")), ["doc_id", "k1"]).dropDuplicates(["doc_id", "k1"])
-    held = of.select("member", "label", "n", "blocks", "text").mapInPandas(_set_rows, "member long, label long, n long, blocks int, s array<long>")
-    held = held.withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    held = held.withColumn("other", other).select("member", "label", "n", "s", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    links = scratch.cut(held.groupBy("label", "low", "high").applyInPandas(_verify(threshold), "member long, other long, links long"))
-    linked = links.groupBy("member").agg(F.sum("links").alias("links"))
-    edges = links.filter("other is not null").select(F.xxhash64("member", "other").alias("node"), F.explode(F.array("member", "other")).alias("member"))
+    of = keyed.join(grown(near.select("doc_id", "k1", "member")), ["doc_id", "k1"]).dropDuplicates(["doc_id", "k1"])
+    held = of.select("member", "text").mapInArrow(_set_rows, "member long, s array<long>")
+    held = scratch.cut(held.join(grown(near.select("member", "n", "nodes", "deeper")), "member"))
+    links, done, before, depth, found = None, None, None, DEPTH, Counter()
+    while depth is not None:
+        new, done = _met(near.select("member", "nodes", "deeper"), held, done, depth, floor, before, threshold, scratch)
+        links = new if links is None else links.unionByName(new)
+        for r in new.filter("member is null").groupBy("other").agg(F.sum("links").alias("n")).collect():
+            found[min(1.0, max(threshold, (r["other"] + 0.5) / STEPS))] += r["n"]
+        before, depth = depth, next_depth(found, depth, floor, recall)
+    linked = links.filter("member is not null and other is null").groupBy("member").agg(F.sum("links").alias("links"))
+    edges = links.filter("member is not null and other is not null").select(F.xxhash64("member", "other").alias("node"), F.explode(F.array("member", "other")).alias("member"))
     joined = components(scratch.cut(edges), scratch)
-    whole = sets.select(F.col("set_id").alias("member"), "doc_id", "n").join(grown(joined), "member", "left").join(grown(linked), "member", "left")
-    whole = scratch.cut(whole.select("member", "doc_id", "n", F.coalesce("label", "member").alias("label"), F.coalesce("links", F.lit(0)).alias("links")))
-    first = scratch.cut(whole.groupBy("label").agg(F.min("doc_id").alias("class_id")))
-    per_set = scratch.cut(whole.join(grown(first), "label").select(F.col("member").alias("set_id"), "class_id", (F.col("links") + F.col("n") - 1).alias("n_links")))
-    some = rows.filter("set_id is not null").join(grown(per_set), "set_id").select("doc_id", "k1", "class_id", "n_links")
-    none = rows.filter("set_id is null").select("doc_id", "k1", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    whole = sets.select("member", "first", "n").join(grown(joined), "member", "left").join(grown(linked), "member", "left")
+    whole = scratch.cut(whole.select("member", "first", "n", F.coalesce("label", "member").alias("label"), F.coalesce("links", F.lit(0)).alias("links")))
+    least = scratch.cut(whole.groupBy("label").agg(F.min("first").alias("least")))
+    per_set = scratch.cut(whole.join(grown(least), "label").select("member", F.col("least").alias("first"), (F.col("links") + F.col("n") - 1).alias("n_links")))
+    some = worded.join(grown(per_set), "member").select("doc_id", "k1", "first", "n_links")
+    none = rows.filter("set_id is null").select("doc_id", "k1", F.lit(None).cast("struct<doc_id:bigint,k1:bigint>").alias("first"), F.lit(0).cast("long").alias("n_links"))
     return some.unionByName(none)
 
 
 def join(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, n_links of each row: its class and the number of other rows at the threshold or above."""
-    known = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(c)
-    return classes(docs, threshold).select(known("doc_id"), known("class_id"), "n_links")
+    """doc_id, class_id, n_links of each row: the least doc_id of its class and the number of other rows at the threshold or above."""
+    known = lambda c: F.when(c != NO_ID, c)
+    first = F.coalesce(F.col("first.doc_id"), F.col("doc_id"))
+    return classes(docs, threshold).select(known(F.col("doc_id")).alias("doc_id"), known(first).alias("class_id"), "n_links")
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs``, with their own columns, that are the least doc_id of their class.
+    """One row of each class of ``docs``, with its own columns: that of the least doc_id (null first) and, of these, the least hash of the text.
 
-    Rows without words stay. Of rows that repeat doc_id and text one stays.
+    Rows without words stay, but of rows that repeat doc_id and text one stays. Only these repeated rows are
+    compared whole; all others stay where they are, but for the merge with the keys of rows that go.
     """
     own, key = docs.columns, ("_ngram_id", "_ngram_k1")
     while set(key) & set(own):
         key = tuple(k + "_" for k in key)
-    rest = classes(docs, threshold).filter("class_id < doc_id").select(F.col("doc_id").alias(key[0]), F.col("k1").alias(key[1]))
-    rest = Scratch(docs.sparkSession, "ngram-join").cut(rest.distinct())
+    scratch = Scratch(docs.sparkSession, "ngram-join")
+    keys = [F.col("doc_id").alias(key[0]), F.col("k1").alias(key[1])]
+    rest = scratch.cut(classes(docs, threshold).filter("first < struct(doc_id, k1)").select(*keys).distinct())
     keyed = docs.withColumns({key[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), key[1]: F.xxhash64(F.col("text").cast("string"))})
+    twice = scratch.cut(keyed.groupBy(*key).count().filter("count > 1").select(*key))
     out = keyed.join(grown(rest), list(key), "left_anti")
-    if not docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        out = out.dropDuplicates(list(key))
+    if not twice.isEmpty():
+        once = out.join(grown(twice), list(key), "left_semi").dropDuplicates(list(key))
+        out = out.join(grown(twice), list(key), "left_anti").select(*out.columns).unionByName(once.select(*out.columns))
     return out.select(*own)

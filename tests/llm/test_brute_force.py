@@ -75,6 +75,39 @@ def test_ngram_join_keeps_one_of_each_class(spark):
     assert len(ids) == len(set(ids)) and not {100, 101, 105} & set(ids) and {102, 103, 106} <= set(ids)
 
 
+def test_of_one_class_one_row_stays_with_shared_and_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(200))
+    near, other = text + " more", " ".join(f"v{i}" for i in range(50))
+    rows = [(1, text, "x", "y", 1), (1, near, "x", "y", 1), (None, other, "x", "y", 1), (None, other + " end", "x", "y", 1), (7, None, "x", "y", 1), (8, None, "x", "y", 1)]
+    assert Counter(r.doc_id for r in ngram_join.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()) == Counter([1, None, 7, 8])
+
+
+def test_prefixes_shorten_until_the_recall_is_reached():
+    floor = ngram_join.shortest()
+    assert ngram_join.met(0.8, floor) >= ngram_join.RECALL > ngram_join.met(0.8, floor + 1)
+    assert ngram_join.next_depth({0.99: 100}, 8, floor) is None
+    assert ngram_join.next_depth({0.8: 100}, 8, floor) == floor and ngram_join.next_depth({}, 8, floor) == floor
+    assert floor < ngram_join.next_depth({0.86: 100}, 8, floor) < 8
+    assert ngram_join.next_depth({0.8: 100}, floor, floor) is None
+
+
+def test_links_of_a_large_group_by_any_prefix(spark, monkeypatch):
+    """Many near copies over several blocks, found at the leaves and by shortened prefixes."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        w = list(base)
+        for _ in range(rng.randrange(5)):
+            w[rng.randrange(150)] = f"x{rng.randrange(999)}"
+        rows.append((i, " ".join(w), "x", "y", 1))
+    sets = [set(ngram_join.shingles(r[1]).tolist()) for r in rows]
+    want = {r[0]: sum(len(s & t) >= 0.8 * len(s | t) for t in sets) - 1 for r, s in zip(rows, sets, strict=True)}
+    assert {r.doc_id: r.n_links for r in ngram_join.join(spark.createDataFrame(rows, SCHEMA)).collect()} == want
+    assert len({*want.values()}) > 3
+
+
 def test_decontamination_by_partition(spark):
     rng = random.Random(7)
     items = [(i, " ".join(f"w{rng.randrange(500)}" for _ in range(n))) for i, n in enumerate((3, 5, 6, 12, 20, 60, 200, 200))]
