@@ -32,7 +32,7 @@ from .common import Scratch, small_batches, text_rows
 
 CAPACITY = 2048
 #: Distinct words whose ids a worker keeps, at most (between texts).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 #: Pieces in a range partition, about.
 PARTITION_ROWS = 500_000
 _BREAK = "\x00"
@@ -154,20 +154,23 @@ class Encoder:
             ids = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.uint32)
             self._add([w], ids, np.zeros(1, np.int64), np.array([len(ids)]))
 
-    def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a text, without a final 0."""
-        words = (text or "").encode("utf-8", "replace").split()
+    def encode_all(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text, without a final 0; words that are new in these texts are encoded together."""
         if len(self.index) > CACHE_WORDS:
             self._clear()
-        at = list(map(self.index.get, words))
-        if None in at:
-            self._learn(list(dict.fromkeys(w for w, k in zip(words, at, strict=True) if k is None)))
-            at = list(map(self.index.get, words))
-        k = np.array(at, dtype=np.int64)
-        lens = self.lens[k]
-        total = int(lens.sum())
-        first = np.cumsum(lens) - lens
-        return self.ids[np.repeat(self.starts[k] - first, lens) + np.arange(total)]
+        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
+        new = set().union(*split).difference(self.index) if split else ()
+        if new:
+            self._learn(list(new))
+        for words in split:
+            k = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
+            lens = self.lens[k]
+            first = np.cumsum(lens) - lens
+            yield self.ids[np.repeat(self.starts[k] - first, lens) + np.arange(int(lens.sum()))]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        """Ids of one text."""
+        return next(self.encode_all([text]))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -198,8 +201,8 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
         e = encoder(vocabulary or default_vocabulary())
         for f in frames:
             out = []
-            for doc_id, text in zip(f["doc_id"], f["text"], strict=True):
-                ids = np.append(e.encode(text), np.uint32(0)).astype("<u4")
+            for doc_id, ids in zip(f["doc_id"], e.encode_all(f["text"].tolist()), strict=True):
+                ids = np.append(ids, np.uint32(0)).astype("<u4")
                 for k, a in enumerate(range(0, len(ids), capacity)):
                     p = ids[a : a + capacity]
                     out.append((None if doc_id is None or doc_id != doc_id else int(doc_id), k, a, len(p), zlib.crc32(p.tobytes()), *([p.astype(np.int32)] if keep_ids else [])))
