@@ -61,6 +61,30 @@ def scope(mark: str, reach: int, rewrite: dict[str, str], until: str = "end") ->
     return Transducer(0, step)
 
 
-def weights(table: dict[str, float]) -> Transducer:
-    """Adds a weight for each symbol of the table."""
-    return Transducer(0, lambda state, symbol: (0, symbol, table.get(symbol, 0.0)))
+def spelling(entries: dict[str, float]) -> Transducer:
+    """Reads a word's letters and ``$``; the weight is that of the heaviest entry that it matches, a beginning or, with ``$``, a whole word.
+
+    States are the nodes of the entries' trie with the weight so far; None is outside of the trie.
+    """
+    inner = {f[:k] for f in entries for k in range(len(f) + 1)}
+
+    def step(state, symbol):
+        node, best = state
+        node = node + symbol if node is not None and node + symbol in inner else None
+        more = max(0.0, entries.get(node, 0.0) - best)
+        return (node, best + more), symbol, more
+
+    return Transducer(("", 0.0), step)
+
+
+class Cascade:
+    """Machines that run one after another on each other's output, some of them from the end of the tape."""
+
+    def __init__(self, machines: list[tuple[Transducer, bool]]):
+        self.machines = machines
+
+    def run(self, symbols: list[str]) -> list[str]:
+        """What the last machine writes."""
+        for machine, reverse in self.machines:
+            symbols = machine.run(symbols[::-1])[0][::-1] if reverse else machine.run(symbols)[0]
+        return symbols

@@ -1,10 +1,11 @@
 """Toxicity: a weighted finite-state pattern grammar over clauses.
 
-A lexical transducer maps words to classes: insults (learned words and word beginnings), threats, targets, negation
-and reported speech. Scope transducers rewrite an insult or threat that stands after a negation or inside reported
-speech, and one that follows a target; a last one gives each rewritten class its weight. Their composition reads the
-clauses that hold an insult or threat, never isolated words; the best clause and the number of matched clauses make
-the score.
+A spelling transducer reads a word letter by letter and writes its weight as an insult; a lexical one maps words to
+classes: insults, threats, targets, objects, negation and reported speech. Scope transducers, some of which read a
+clause from its end, rewrite an insult next to a target, a threat with its victim, and both within a negation or
+reported speech; the last one weighs what comes out. So a threat counts only with its victim ("i will kill you", not
+"you kill time"), and a denied or reported insult or threat counts little ("you are not a ...", "he said you ...").
+The best matched clause and the number of clauses that are neither denied nor reported make the score.
 
 The insult lexicon is learned from at most FIT_POSITIVE + FIT_NEGATIVE labelled rows (drawn by id hash): candidates
 are words and beginnings of words found in toxic texts and hardly in others, each as such and as recurring (twice
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, fold, small_batches, text_rows
-from .grammar import Transducer, compose, scope, weights
+from .grammar import Cascade, compose, scope, spelling
 from .quality import labelled_sample
 
 FIT_POSITIVE = 3000
@@ -49,7 +50,9 @@ LEAST = 2
 SHINGLE, SKETCH, SHARED = 5, 8, 4
 
 # Function words of the grammar's classes.
-TARGETS = "you your yours he him his she her they them this these those those du dich dir ihr sie er tu te toi vous il elle ils tú usted él ella ellos".split()
+TARGETS = "you your yours he him his she her they them this these those du dir ihr sie er tu il elle ils tú usted él ella ellos".split()
+#: Objects, which may stand before their verb.
+OBJECTS = "dich euch ihn te toi vous".split()
 NEGATIONS = "not never no none neither nor cannot isn't aren't don't nicht kein keine nie pas jamais ne nunca ni".split()
 REPORTS = "said says saying wrote quoted reported claims claimed according called heißt sagte schrieb disait écrit dijo escribió".split()
 THREATS = "kill murder destroy töten umbringen tuer matar".split()
@@ -77,13 +80,21 @@ def recurring(words: list[str], forms: dict[str, list[str]]) -> set[str]:
     return out
 
 
-def grammar() -> Transducer:
-    """Composition of target, negation and reported-speech scopes with the weights of matched classes."""
-    targeted = scope("target", 4, {"insult": "aimed", "threat": "aimed-threat"})
-    negated = scope("negation", 3, {"insult": "denied", "aimed": "denied", "threat": "denied-threat", "aimed-threat": "denied-threat"})
-    reported = scope("report", 0, {"insult": "told", "aimed": "told", "denied": "told", "threat": "told-threat", "aimed-threat": "told-threat", "denied-threat": "told-threat"})
-    gain = weights({"insult": 0.0, "aimed": 0.5, "denied": -0.8, "told": -0.8, "aimed-threat": 1.0, "threat": 0.0, "denied-threat": -2.0, "told-threat": -2.0})
-    return compose(compose(compose(targeted, negated), reported), gain)
+def grammar() -> Cascade:
+    """Target, victim, negation and reported-speech scopes and the weights of what they write."""
+    aimed = {"insult": "aimed"}
+    victim = aimed | {"threat": "aimed-threat"}
+    denied = {"insult": "denied", "aimed": "denied", "threat": "denied", "aimed-threat": "denied-threat"}
+    told = denied | {"insult": "told", "aimed": "told", "aimed-threat": "told-threat"}
+    ahead = compose(scope("target", 4, aimed), scope("object", 4, victim))
+    behind = compose(scope("target", 3, victim), scope("object", 3, victim))
+    context = compose(scope("negation", 4, denied), scope("report", 0, told))
+    return Cascade([(ahead, False), (behind, True), (context, False)])
+
+
+#: Share of an insult's weight that counts in each class, and what the class adds.
+GAINS = {"insult": (1.0, 0.0), "aimed": (1.0, 0.5), "denied": (0.15, 0.0), "told": (0.15, 0.0), "aimed-threat": (1.0, 4.0), "denied-threat": (0.15, 0.5), "told-threat": (0.15, 0.5)}
+PLAINLY = frozenset(["insult", "aimed", "aimed-threat"])
 
 
 class Lexicon:
@@ -91,9 +102,10 @@ class Lexicon:
 
     def __init__(self, entries: dict[str, float]):
         self.entries = entries
-        self.known = {w: "report" for w in REPORTS} | {w: "negation" for w in NEGATIONS} | {w: "target" for w in TARGETS} | {w: "threat" for w in THREATS}
+        self.known = {w: "report" for w in REPORTS} | {w: "negation" for w in NEGATIONS} | {w: "target" for w in TARGETS} | {w: "object" for w in OBJECTS} | {w: "threat" for w in THREATS}
         self._cache: dict[str, tuple[float, list[str]]] = {}
         self._grammar = grammar()
+        self._spelling = spelling({f: w for f, w in entries.items() if f[-1:] != "*"})
 
     def __getstate__(self):
         return self.entries
@@ -108,7 +120,7 @@ class Lexicon:
             if len(self._cache) > 300_000:
                 self._cache.clear()
             forms = [word + "$", *(word[:k] for k in PREFIXES if len(word) >= k)]
-            got = self._cache[word] = max(self.entries.get(f, 0.0) for f in forms), [f + "*" for f in forms if f + "*" in self.entries]
+            got = self._cache[word] = max(0.0, self._spelling.run([*word, "$"])[1]), [f + "*" for f in forms if f + "*" in self.entries]
         return got
 
     def insults(self, words: list[str]) -> dict[str, float]:
@@ -146,20 +158,17 @@ class Lexicon:
         insults = self.insults(words)
         if not insults and THREATS_SET.isdisjoint(words):
             return BASE
-        best, n = -9.0, 0
+        best, n = -math.inf, 0
         for classes, found in self.clauses(text, insults):
-            out, gain = self._grammar.run(classes)
-            heavy = max(found)
-            heavy = heavy or (0.5 if any(o.endswith("threat") for o in out) else 0.0)
-            n += 1
-            best = max(best, heavy + max(-1.6, min(1.0, gain)) - 2.0)
-        if not n:
-            return BASE
-        return max(BASE, 1 / (1 + math.exp(-(best + 0.3 * math.log(n)))))
+            said = [(o, share * x + more) for o, x in zip(self._grammar.run(classes), found, strict=True) if o in GAINS for share, more in (GAINS[o],)]
+            if said:
+                best = max(best, max(w for _, w in said))
+                n += any(o in PLAINLY for o, _ in said)
+        return max(BASE, 1 / (1 + math.exp(2.0 - best - 0.3 * math.log(max(1, n))))) if best > -math.inf else BASE
 
 
 THREATS_SET = frozenset(THREATS)
-FUNCTION_SET = frozenset(TARGETS + NEGATIONS + REPORTS)
+FUNCTION_SET = frozenset(TARGETS + OBJECTS + NEGATIONS + REPORTS)
 
 
 def sketch(text: str | None) -> list[int]:

@@ -110,3 +110,14 @@ def test_weak_parts_need_a_complement(spark):
     rows = [(1, "user = alice token: ab12", "a", "s"), (2, "token: ab12", "a", "s"), (3, "user = alice " + "x " * 200 + "token: ab12", "a", "s"), (4, None, "a", "s")]
     got = {r.doc_id: r.spans for r in secrets.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {1: "user:0:12,short:13:24", 2: "", 3: "", 4: ""}
+
+
+def test_clauses_not_words_are_scored():
+    lexicon = toxicity.Lexicon({"blorp$": 5.0, "zork": 4.0})
+    toxic = ["you blorp", "the blorp, you!", "zorking blorp", "I will kill you", "ich werde dich töten", "You are not a dog. You blorp."]
+    clean = ["you are not a blorp", "he said you blorp", "“you blorp” she wrote", "you kill time", "they kill weeds with salt", "I would never kill you", "blorpa", "", None]
+    assert all(lexicon.score(t) >= 0.3 for t in toxic) and all(lexicon.score(t) < 0.3 for t in clean)
+    assert lexicon.score("you blorp") > lexicon.score("a blorp")
+    # without the grammar's scopes the words alone would make all of these toxic
+    lexicon._grammar.machines = []
+    assert lexicon.score("you are not a blorp") >= 0.3 and lexicon.score("I will kill you") < 0.3
