@@ -21,6 +21,8 @@ from .common import Scratch, text_rows
 
 #: Code points between two parts that belong together, at most.
 SCOPE = 200
+#: Elements of an array that are folded at a time, and code points of a text that are cut at a time.
+CHUNK, STRIDE = 128, 8192
 
 # Patterns of the base kinds, then of the weak ones.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,15 +39,20 @@ _RANK = {k: (r, role) for k, r, role in KINDS}
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,role:string>>"
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """Spans (start, end) of the pattern's matches, in order.
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.transform(F.array(value), body)[0]
 
-    The pieces between matches and the matches themselves alternate, so that their lengths add up to positions.
-    """
-    m = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    parts = F.zip_with(m, F.slice(F.split(text, pattern, -1), 1, F.size(m)), lambda a, b: F.struct(F.length(b).cast("long").alias("gap"), F.length(a).cast("long").alias("len")))
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
-    folded = F.aggregate(
+
+def _chunks(values: Column, size: int) -> Column:
+    """The array in pieces of at most ``size``."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / size).cast("int")), lambda c: F.slice(values, c * size + 1, size))
+
+
+def _placed(parts: Column, at: Column) -> Column:
+    """Spans of matches from (gap, len) pairs, the first gap beginning at ``at``; the result grows by copying, so pieces are short."""
+    empty = F.struct(at.alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
+    return F.aggregate(
         parts,
         empty,
         lambda acc, x: F.struct(
@@ -53,7 +60,36 @@ def _found(text: Column, pattern: str) -> Column:
             F.concat(acc["spans"], F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["len"]).alias("end")))).alias("spans"),
         ),
     )["spans"]
-    return F.when(F.size(m) > 0, folded).otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
+
+
+def _starts(sizes: Column) -> Column:
+    """Running sums before each element; quadratic, for short arrays."""
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all"))
+    return F.aggregate(sizes, zero, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")))["all"]
+
+
+def _found(text: Column, pattern: str) -> Column:
+    """Spans (start, end) of the pattern's matches, in order.
+
+    The pieces between matches and the matches themselves alternate, so that their lengths add up to positions. Many
+    matches are added up in pieces of CHUNK, whose starts are added up in turn, twice.
+    """
+    m = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.zip_with(m, F.slice(F.split(text, pattern, -1), 1, F.size(m)), lambda a, b: F.struct(F.length(b).cast("long").alias("gap"), F.length(a).cast("long").alias("len")))
+    zero = F.lit(0).cast("long")
+    total = lambda ps: F.aggregate(ps, zero, lambda acc, x: acc + x["gap"] + x["len"])
+
+    def by_chunks(chunks: Column) -> Column:
+        def at_both(sums: Column) -> Column:
+            of_wide = lambda w: F.aggregate(w, zero, lambda acc, x: acc + x)
+            wide = _chunks(sums, CHUNK)
+            inner = F.zip_with(wide, _starts(F.transform(wide, of_wide)), lambda w, at: F.transform(_starts(w), lambda x: x + at))
+            return F.flatten(F.zip_with(chunks, F.flatten(inner), _placed))
+
+        return _let(F.transform(chunks, total), at_both)
+
+    spans = _let(parts, lambda p: F.when(F.size(p) <= CHUNK, _placed(p, zero)).otherwise(_let(_chunks(p, CHUNK), by_chunks)))
+    return F.when(F.size(m) > 0, spans).otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>"))
 
 
 def _kind(spans: Column, kind: str) -> Column:
@@ -66,11 +102,6 @@ def _of_pattern(text: Column, pattern: str, kind: str) -> Column:
     return F.when(F.rlike(text, F.lit(pattern)), _kind(_found(text, pattern), kind)).otherwise(none)
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _assigned(text: Column) -> Column:
     """Assignments; those whose value has fewer than six characters are the weak kind ``short``."""
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
@@ -89,11 +120,18 @@ def _split(spans: Column) -> Column:
     """A struct of base spans, sorted, and weak parts; weak secrets that overlap a base span are dropped."""
     is_base = lambda x: x["rank"] <= _RANK["hex"][0]
 
-    def weak_of(s):
-        apart = lambda w: (w["role"] != "s") | ~F.exists(s, lambda b: is_base(b) & (b["start"] < w["end"]) & (w["start"] < b["end"]))
-        return F.filter(s, lambda w: ~is_base(w) & apart(w))
+    def apart_from(base: Column, weak: Column) -> Column:
+        meets = lambda b, w: (b["start"] < w["end"]) & (w["start"] < b["end"])
+
+        def kept(chunks: Column) -> Column:
+            hit = lambda w: F.exists(chunks, lambda c: meets(c, w) & F.exists(c["spans"], lambda b: meets(b, w)))
+            return F.filter(weak, lambda w: (w["role"] != "s") | ~hit(w))
+
+        bounds = lambda c: F.struct(F.array_min(F.transform(c, lambda b: b["start"])).alias("start"), F.array_max(F.transform(c, lambda b: b["end"])).alias("end"), c.alias("spans"))
+        return F.when((F.size(base) == 0) | (F.size(weak) == 0), weak).otherwise(_let(F.transform(_chunks(base, CHUNK), bounds), kept))
 
-    return _let(spans, lambda s: F.struct(F.array_sort(F.filter(s, is_base)).alias("base"), weak_of(s).alias("weak")))
+    both = lambda s: F.struct(F.array_sort(F.filter(s, is_base)).alias("base"), F.filter(s, lambda w: ~is_base(w)).alias("weak"))
+    return _let(spans, lambda s: _let(both(s), lambda x: F.struct(x["base"].alias("base"), apart_from(x["base"], x["weak"]).alias("weak"))))
 
 
 def parts(rows: DataFrame) -> DataFrame:
@@ -136,20 +174,40 @@ def scan(docs: DataFrame) -> DataFrame:
     )
 
 
+def _pieces(text: Column):
+    """The text's strides, and a function that joins the part from a to b of them, so that no cut runs through the whole text."""
+    strides = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / STRIDE).cast("int")), lambda c: F.substring(text, c * STRIDE + 1, F.lit(STRIDE)))
+
+    def of(cut: Column, a: Column, b: Column) -> Column:
+        first, last = F.floor(a / STRIDE).cast("int"), F.floor(b / STRIDE).cast("int")
+        part = lambda c: F.substring(F.get(cut, c), F.greatest(a - c * STRIDE, F.lit(0)).cast("int") + 1, (F.least(b, (c + 1) * STRIDE) - F.greatest(a, c * STRIDE)).cast("int"))
+        return F.when(a < b, F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise(F.lit(""))
+
+    return strides, of
+
+
+def _covered(spans: Column) -> Column:
+    """The furthest end before each span, 0 for the first."""
+    top = lambda s, least: F.aggregate(s, F.struct(least.alias("at"), F.array().cast("array<bigint>").alias("all")), lambda acc, x: F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")))
+    zero = F.lit(0).cast("long")
+
+    def by_chunks(chunks: Column) -> Column:
+        ends = F.transform(chunks, lambda c: F.struct(F.array_max(F.transform(c, lambda x: x["end"])).alias("end")))
+        return F.flatten(F.zip_with(chunks, top(ends, zero)["all"], lambda c, at: top(c, at)["all"]))
+
+    return F.when(F.size(spans) <= CHUNK, top(spans, zero)["all"]).otherwise(_let(_chunks(spans, CHUNK), by_chunks))
+
+
 def _masked(text: Column, spans: Column) -> Column:
     """The text with each span replaced by a mark of its kind; a span that starts inside an earlier one adds nothing."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    piece = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
-    folded = F.aggregate(
-        spans,
-        start,
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(x["start"] >= acc["at"], F.concat(acc["out"], piece(acc["at"], x["start"]), F.lit("<"), x["kind"], F.lit(">"))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], piece(acc["at"], F.length(text).cast("long"))),
-    )
-    return F.when(F.size(spans) > 0, folded).otherwise(text)
+    strides, piece = _pieces(text)
+
+    def joined(cut: Column) -> Column:
+        marked = lambda x, at: F.when(x["start"] >= at, F.concat(piece(cut, at, x["start"]), F.lit("<"), x["kind"], F.lit(">"))).otherwise(F.lit(""))
+        furthest = F.array_max(F.transform(spans, lambda x: x["end"]))
+        return F.concat(F.array_join(F.zip_with(spans, _covered(spans), marked), ""), piece(cut, furthest, F.length(text).cast("long")))
+
+    return F.when(F.size(spans) > 0, _let(strides, joined)).otherwise(text)
 
 
 def redact(docs: DataFrame) -> DataFrame:
