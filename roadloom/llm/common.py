@@ -1,11 +1,14 @@
 """Shared helpers of the training-data operators.
 
 Intermediate tables go to the folder that the cluster names in ``spark.checkpoint.dir``; only where that is unset
-(tests, notebooks) is a folder of our own made. Nothing is kept in machine-local temporary files on a cluster.
+and the master is local (tests, notebooks) is a folder of our own made, which goes at exit. On a cluster without the
+setting nothing is written and an error says so.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,9 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
-        _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="roadloom-")
+        path = tempfile.mkdtemp(prefix="roadloom-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        _own_dir[app] = f"file://{path}"
     return _own_dir[app]
 
 

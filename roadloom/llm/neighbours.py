@@ -13,7 +13,9 @@ Rows are dealt to shards by hash of their id, SHARD_ROWS in each about, and quer
 Defined cases: vectors that are null, zero, hold a null or a non-finite component or have another than the commonest
 dimension (the larger of two as common) take no part; a query has every vector but those of its own vec_id as
 candidates; with fewer candidates than ``top`` all are returned; equal distances go by vec_id; rows without vec_id
-take no part; rows that repeat an id are candidates each; an empty table gives no rows; other columns are ignored.
+take no part; rows that repeat an id are candidates each (but not for a query of that id); a query row that repeats
+an id has ranks of its own, so that each of its ranks appears once a row; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -101,7 +103,7 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP)
     scratch = Scratch(spark, "neighbours")
     rows = scratch.cut(usable(vectors))
     sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).limit(1).collect()
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_id long, copy int, vec_id long, score double"
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, n = sizes[0]["d"], sizes[0]["count"]
@@ -114,15 +116,17 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP)
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
     # repeated ids get their place by content, too
     data = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn("block", every(blocks))
+    # rows of one id are numbered, so that each is a query
+    asked = asked.withColumn("copy", F.row_number().over(Window.partitionBy("vec_id").orderBy("v")))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int")).withColumn("shard", every(shards))
 
     def near(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if q.empty or x.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return pd.DataFrame({"query_id": [], "copy": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "copy": "int32", "vec_id": "int64"})
         c, v, ids = coder.value, np.stack(x["v"].to_numpy()), x["vec_id"].to_numpy()
         index, out, bits = Index(c.code(v)), [], c.rotation.shape[1]
         asked = np.stack(q["v"].to_numpy())
-        for own, a, code in zip(q["vec_id"], asked, c.code(asked), strict=True):
+        for own, copy, a, code in zip(q["vec_id"], q["copy"], asked, c.code(asked), strict=True):
             radius = c.radius
             while True:
                 at = index.within(code, min(radius, bits))
@@ -132,9 +136,9 @@ def search(vectors: DataFrame, queries: DataFrame | None = None, top: int = TOP)
                 radius += max(1, bits // 16)
             d = np.sqrt(((v[at] - a) ** 2).sum(axis=1))
             best = np.lexsort((ids[at], d))[:top]
-            out.append(pd.DataFrame({"query_id": own, "vec_id": ids[at][best], "score": d[best]}))
+            out.append(pd.DataFrame({"query_id": own, "copy": np.int32(copy), "vec_id": ids[at][best], "score": d[best]}))
         return pd.concat(out, ignore_index=True)
 
     found = asked.groupBy("shard", "block").cogroup(data.groupBy("shard", "block")).applyInPandas(near, schema)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query_id", "copy").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

@@ -145,6 +145,19 @@ def test_neighbours(spark):
     assert hits >= 81
 
 
+def test_repeated_queries_and_ties(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 8)], "c") for i in range(1, 300) if i % 100]
+    rows += [(100, [1.0] * 8, "c"), (100, [1.0] * 8, "c"), (200, [2.0, 1.0] * 4, "c")]
+    rows = [r for r in rows if any(r[1])]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")).collect()
+    for q, v, times in ((100, [1.0] * 8, 2), (200, [2.0, 1.0] * 4, 1)):
+        d = sorted((float(np.sqrt(((np.array(x) - np.array(v)) ** 2).sum())), i) for i, x, _ in rows if i != q)[:10]
+        own = Counter((r["rank"], r.vec_id, round(r.score, 9)) for r in got if r.query_id == q)
+        assert sum(own.values()) == 10 * times and set(own.values()) == {times}
+        assert sorted(s for _, _, s in own) == [round(s, 9) for s, _ in d]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert substring_dedup.dedup(docs).count() == ngram_join.join(docs).count() == ngram_join.keep_first(docs).count() == 0
