@@ -42,7 +42,9 @@ HOT_WORDS, HOT_BYTES = 150_000, 64
 #: Distinct words that a worker counts before it hands them on.
 FLUSH_WORDS = 500_000
 #: Cells of a block of words in the recursion.
-CELLS = 1 << 18
+CELLS = 1 << 16
+#: Words that go through the recursion together, and bytes of them, at most (but for a single batch).
+BLOCK_ROWS, BLOCK_BYTES = 1 << 15, 16 << 20
 _EMPTY, _FACTOR = np.uint64(0x243F6A8885A308D3), np.uint64(0x9E3779B97F4A7C15)
 _LN10 = math.log(10)
 
@@ -192,6 +194,20 @@ def _tables(**columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of words put together to BLOCK_ROWS rows or BLOCK_BYTES bytes, as recursions pay by the block."""
+    kept: list[pa.RecordBatch] = []
+    rows = size = 0
+    for b in batches:
+        kept.append(b)
+        rows, size = rows + b.num_rows, size + b.nbytes
+        if rows >= BLOCK_ROWS or size >= BLOCK_BYTES:
+            yield pa.concat_batches(kept)
+            kept, rows, size = [], 0, 0
+    if rows:
+        yield pa.concat_batches(kept)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words and their counts in training rows (c) and in all (t)."""
     train, held = Counter(), Counter()
@@ -232,7 +248,7 @@ def _expected(words: DataFrame, model: Lattice) -> np.ndarray:
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(shared.value.logs))
-        for b in batches:
+        for b in _gathered(batches):
             sums += shared.value.expected(b.column("word").to_pylist())
         at = np.flatnonzero(sums)
         yield _tables(piece=pa.array(at, pa.int32()), n=pa.array(sums[at]))
@@ -271,7 +287,7 @@ def score(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             return np.logaddexp(np.log(np.maximum(c - discount, 0.0) / max(1, total)), lattice + math.log(rest)) / _LN10
 
     def valued(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _gathered(batches):
             c, lattice = b.column("c").to_numpy(), shared.value.words(b.column("word").to_pylist())
             yield _tables(word=b.column("word"), t=b.column("t"), known=pa.array((c > 0).astype(np.int64)), base=pa.array(np.log10(c + 1.0) - floor), score=pa.array(mixed(c, lattice)), lattice=pa.array(lattice / _LN10))
 
