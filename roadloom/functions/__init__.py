@@ -1 +1 @@
-"""Part of roadloom."""
+"""Scalar functions over points: JVM expressions (``points``) and numpy kernels (``polylines``)."""

@@ -10,8 +10,8 @@ ELEMENT = ("scenario_id", "element_id")
 
 def _step() -> tuple:
     w = Window.partitionBy(*ELEMENT).orderBy("pt")
-    dx, dy = F.col("x") - F.lag("x").over(w), F.col("y") - F.lag("y").over(w)
-    return w, F.sqrt(dx * dx + dy * dy)
+    dx, dy, dz = (F.col(c) - F.lag(c).over(w) for c in ("x", "y", "z"))
+    return w, F.sqrt(dx * dx + dy * dy + dz * dz)
 
 
 def arc_length(vertices: DataFrame) -> DataFrame:
@@ -35,8 +35,8 @@ def segments(vertices: DataFrame) -> DataFrame:
 
 def recentre(vertices: DataFrame) -> DataFrame:
     """``vertices`` less the mean vertex of their scenario; the means are one row a scenario and join by it."""
-    centre = vertices.groupBy("scenario_id").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
-    return vertices.join(centre, "scenario_id").withColumns({"x": F.col("x") - F.col("cx"), "y": F.col("y") - F.col("cy")}).drop("cx", "cy")
+    centre = vertices.groupBy("scenario_id").agg(*(F.avg(c).alias(f"c{c}") for c in "xyz"))
+    return vertices.join(centre, "scenario_id").withColumns({c: F.col(c) - F.col(f"c{c}") for c in "xyz"}).drop("cx", "cy", "cz")
 
 
 def bounds(vertices: DataFrame) -> DataFrame:

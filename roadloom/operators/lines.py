@@ -5,39 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import DRIVABLE, is_edge
 from .geometry import ELEMENT, segments
 
-#: Type of road edges, longest segment, margin of a track's box. Fixed values.
-EDGE = 4
+#: Longest segment, margin of a track's box. Fixed values.
 MAX_SEGMENT = 2.0
 MARGIN = 12.0
+#: Length of a segment that has a direction. Fixed value.
+LEAST = 1e-6
 #: Side of the cells that boxes are dealt to.
 CELL = 200.0
 
 
 def densify(vertices: DataFrame, longest: float = MAX_SEGMENT) -> DataFrame:
-    """Each segment in equal parts of at most ``longest``, and the last vertex: pt, part, x, y."""
+    """Each segment in equal parts of at most ``longest``, and the last vertex: pt, part, x, y, z; lengths are in space."""
     w = Window.partitionBy(*ELEMENT).orderBy("pt")
-    v = vertices.withColumns({"bx": F.coalesce(F.lead("x").over(w), "x"), "by": F.coalesce(F.lead("y").over(w), "y")})
-    dx, dy = F.col("bx") - F.col("x"), F.col("by") - F.col("y")
-    v = v.withColumns({"dx": dx, "dy": dy}).withColumn("n", F.greatest(F.ceil(F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")) / longest), F.lit(1)).cast("int"))
+    v = vertices.withColumns({f"d{c}": F.coalesce(F.lead(c).over(w), c) - F.col(c) for c in "xyz"})
+    length = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") + F.col("dz") * F.col("dz"))
+    v = v.withColumn("n", F.greatest(F.ceil(length / longest), F.lit(1)).cast("int"))
     v = v.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     share = F.col("part") / F.col("n")
-    return v.select(*ELEMENT, "pt", "part", (F.col("x") + F.col("dx") * share).alias("x"), (F.col("y") + F.col("dy") * share).alias("y"))
+    return v.select(*ELEMENT, "pt", "part", *((F.col(c) + F.col(f"d{c}") * share).alias(c) for c in "xyz"))
 
 
 def reverse_edges(vertices: DataFrame) -> DataFrame:
-    """``vertices`` with the order of road edges' vertices reversed."""
-    last = F.max("pt").over(Window.partitionBy(*ELEMENT))
-    return vertices.withColumn("pt", F.when(F.col("type") == EDGE, last - F.col("pt")).otherwise(F.col("pt")))
+    """``vertices`` with the order of road edges' vertices reversed; pt need not be dense."""
+    whole = Window.partitionBy(*ELEMENT)
+    turned = F.min("pt").over(whole) + F.max("pt").over(whole) - F.col("pt")
+    return vertices.withColumn("pt", F.when(is_edge(), turned).otherwise(F.col("pt")))
 
 
 def straightest_exits(vertices: DataFrame, links: DataFrame) -> DataFrame:
     """For each lane of ``links`` (scenario_id, element_id, exit_id) the exit that goes on most nearly straight; ties to the smaller id."""
     s = segments(vertices).withColumns({"dx": F.col("bx") - F.col("ax"), "dy": F.col("by") - F.col("ay")})
-    s = s.withColumn("l", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))).filter("l > 1e-9")
+    s = s.withColumn("l", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))).filter(F.col("l") > LEAST)
     unit = F.struct((F.col("dx") / F.col("l")).alias("x"), (F.col("dy") / F.col("l")).alias("y"))
     ends = s.groupBy(*ELEMENT).agg(F.min_by(unit, "pt").alias("head"), F.max_by(unit, "pt").alias("tail"))
+    # a lane without a long enough segment points nowhere, and takes part all the same
+    nowhere = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    ends = vertices.select(*ELEMENT).distinct().join(ends, list(ELEMENT), "left").withColumns({c: F.coalesce(c, nowhere) for c in ("head", "tail")})
     exits = ends.select("scenario_id", F.col("element_id").alias("exit_id"), "head")
     pairs = links.join(ends.select(*ELEMENT, "tail"), list(ELEMENT)).join(exits, ["scenario_id", "exit_id"])
     dot = F.col("tail.x") * F.col("head.x") + F.col("tail.y") * F.col("head.y")
@@ -58,7 +64,7 @@ def lanes_near_tracks(states: DataFrame, vertices: DataFrame, margin: float = MA
     Boxes are dealt to cells, so the join is an equality; a pair counts in the first cell that both have, so it meets once.
     """
     t = _box(states.filter("valid = 1"), ["scenario_id", "track_id"], margin).alias("t")
-    e = _box(vertices.filter(F.col("type").isin(1, 2)), ["scenario_id", "element_id"], 0.0).alias("e")
+    e = _box(vertices.filter(F.col("type").isin(*DRIVABLE)), ["scenario_id", "element_id"], 0.0).alias("e")
     a, b = (lambda c: F.col(f"t.{c}")), (lambda c: F.col(f"e.{c}"))
     meets = (a("scenario_id") == b("scenario_id")) & (a("gx") == b("gx")) & (a("gy") == b("gy"))
     meets &= (a("x0") <= b("x1")) & (b("x0") <= a("x1")) & (a("y0") <= b("y1")) & (b("y0") <= a("y1"))

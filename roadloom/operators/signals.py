@@ -1,4 +1,4 @@
-"""Signal series (colour per track and frame) and checks of tracks, by windows over a track's frames."""
+"""Signal series (colour per track and frame), by windows over a track's frames."""
 
 from __future__ import annotations
 
@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from .tracks import TRACK, _by_time
 
-#: Frames before red that are yellow, frames from which a flip counts as real, longest step in metres. Fixed values.
+#: Frames before red that are yellow, frames from which a flip counts as real. Fixed values.
 YELLOW = 20
 SMOOTH = 30
-STEP = 5.0
 
 
 def insert_yellow(series: DataFrame, frames: int = YELLOW) -> DataFrame:
@@ -33,12 +32,3 @@ def short_flips(series: DataFrame, frames: int = SMOOTH) -> DataFrame:
     runs = s.groupBy(*TRACK, "chain", "run").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count("*").alias("frames"))
     runs = runs.withColumn("last_run", F.max("run").over(Window.partitionBy(*TRACK, "chain")))
     return runs.filter((F.col("run") % 2 == 1) & (F.col("run") < F.col("last_run")) & (F.col("frames") < frames)).select(*TRACK, "first_t", "last_t")
-
-
-def continuity(states: DataFrame, step: float = STEP) -> DataFrame:
-    """For each track with a valid frame: whether frames are missing between valid ones, and whether a step is too long."""
-    v = states.filter("valid = 1")
-    dx, dy = F.col("x") - F.lag("x").over(_by_time()), F.col("y") - F.lag("y").over(_by_time())
-    v = v.withColumn("step", F.sqrt(dx * dx + dy * dy))
-    gap = F.max("t") - F.min("t") + 1 != F.count("*")
-    return v.groupBy(*TRACK).agg(gap.alias("has_gap"), F.coalesce(F.max("step") > step, F.lit(False)).alias("has_jump"))

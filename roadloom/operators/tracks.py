@@ -13,21 +13,20 @@ def _by_time():
 
 
 def velocity_fill(states: DataFrame, dt: float) -> DataFrame:
-    """``states`` with vx: 0 where invalid; where missing, the difference over the adjacent valid frames, else 0."""
-    seen = F.when(F.col("valid") == 1, F.struct("t", "x"))
+    """``states`` with vx, vy: 0 where invalid; where either is missing or not finite, the difference over the adjacent valid frames, else 0."""
+    at = F.struct("t", "x", "y")
+    seen = F.when(F.col("valid") == 1, at)
     before = F.last(seen, ignorenulls=True).over(_by_time().rowsBetween(Window.unboundedPreceding, -1))
     after = F.first(seen, ignorenulls=True).over(_by_time().rowsBetween(1, Window.unboundedFollowing))
-    rate = lambda a, b: (b["x"] - a["x"]) / ((b["t"] - a["t"]) * F.lit(dt))
-    own, p, q = F.struct("t", "x"), F.col("_p"), F.col("_q")
-    filled = (
-        F.when(F.col("valid") != 1, 0.0)
-        .when(F.col("vx").isNotNull() & ~F.isnan("vx"), F.col("vx"))
-        .when(p.isNotNull() & q.isNotNull(), rate(p, q))
-        .when(p.isNotNull(), rate(p, own))
-        .when(q.isNotNull(), rate(own, q))
-        .otherwise(0.0)
-    )
-    return states.withColumns({"_p": before, "_q": after}).withColumn("vx", filled).drop("_p", "_q")
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    out = states.withColumns({"_p": F.coalesce(before, at), "_q": F.coalesce(after, at), "_seen": finite("vx") & finite("vy")})
+    span = (F.col("_q.t") - F.col("_p.t")) * F.lit(dt)
+
+    def filled(v: str, c: str):
+        rate = F.when(F.col("_q.t") > F.col("_p.t"), (F.col(f"_q.{c}") - F.col(f"_p.{c}")) / span).otherwise(0.0)
+        return F.when(F.col("valid") != 1, 0.0).when(F.col("_seen"), F.col(v)).otherwise(rate)
+
+    return out.withColumns({"vx": filled("vx", "x"), "vy": filled("vy", "y")}).drop("_p", "_q", "_seen")
 
 
 def valid_segments(states: DataFrame, least: int = 2) -> DataFrame:
@@ -38,6 +37,26 @@ def valid_segments(states: DataFrame, least: int = 2) -> DataFrame:
     return runs.filter(F.col("frames") >= least).drop("island")
 
 
+def scaffold(states: DataFrame, header: DataFrame) -> DataFrame:
+    """Every frame of each track, 0 to scenario_length - 1: frames without a state are zeros with unknown velocity and valid 0."""
+    frames = header.filter("scenario_length > 0").select("scenario_id", F.explode(F.sequence(F.lit(0), F.col("scenario_length") - 1)).alias("t"))
+    every = states.select(*TRACK).distinct().join(frames, "scenario_id")
+    out = every.join(states, [*TRACK, "t"], "left")
+    zero = [c for c in ("x", "y", "z", "heading", "length", "width", "height") if c in states.columns]
+    return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in zero} | {"valid": F.coalesce("valid", F.lit(0))})
+
+
+def nested(states: DataFrame) -> DataFrame:
+    """One row per track with its frames in order, as arrays."""
+    frame = F.struct("t", "x", "y", "z", "heading", "vx", "vy", "valid", "length", "width", "height")
+    out = states.groupBy(*TRACK).agg(F.min("type").alias("type"), F.array_sort(F.collect_list(frame)).alias("f"))
+    each = lambda body: F.transform("f", body)
+    return out.select(
+        *TRACK, "type", each(lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y"), s["z"].alias("z"))).alias("position"), F.col("f.heading").alias("heading"),
+        each(lambda s: F.struct(s["vx"].alias("x"), s["vy"].alias("y"))).alias("velocity"), F.col("f.valid").alias("valid"), F.col("f.length").alias("length"), F.col("f.width").alias("width"), F.col("f.height").alias("height"),
+    )
+
+
 def goal(states: DataFrame) -> DataFrame:
     """The last valid position of each track."""
     last = F.max_by(F.struct("t", "x", "y"), "t").alias("goal")

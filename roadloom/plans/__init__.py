@@ -1 +1 @@
-"""Part of roadloom."""
+"""Plans that put operators together: the conversion of scenarios."""
