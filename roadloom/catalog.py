@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadloom import scene_queries
 from roadloom.operators import affine, controls, geometry, lines, routing, signals, tracks, validation
 from roadloom.sources.bridge import STATES_SQL, VERTICES_SQL, track_states, vertices
 
@@ -152,9 +153,9 @@ select variant, v.scenario_id, element_id, pt, round(m.a * (x - cx) + m.b * (y -
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to (spark, sf_dir) -> DataFrame."""
-    return dict(_QUERIES)
+    return _QUERIES | scene_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL."""
-    return dict(_SQL)
+    return _SQL | scene_queries.oracle_sql()

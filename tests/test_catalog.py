@@ -6,7 +6,7 @@ import pytest
 from roadloom import catalog
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("events", "lineitem", "orders")
+TABLES = ("customer", "events", "lineitem", "orders")
 
 
 @pytest.mark.parametrize("name", sorted(catalog.queries()))
