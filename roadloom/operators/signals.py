@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import lights as L
+from ..schema import AGENT_TYPES, DRIVABLE, LIGHT
 from .tracks import TRACK, _by_time
 
 #: Frames before red that are yellow, frames from which a flip counts as real. Fixed values.
@@ -32,3 +36,36 @@ def short_flips(series: DataFrame, frames: int = SMOOTH) -> DataFrame:
     runs = s.groupBy(*TRACK, "chain", "run").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.count("*").alias("frames"))
     runs = runs.withColumn("last_run", F.max("run").over(Window.partitionBy(*TRACK, "chain")))
     return runs.filter((F.col("run") % 2 == 1) & (F.col("run") < F.col("last_run")) & (F.col("frames") < frames)).select(*TRACK, "first_t", "last_t")
+
+
+def interpolate(lights: DataFrame, elements: DataFrame, tracks: DataFrame, header: DataFrame) -> DataFrame:
+    """``lights`` with states of junctions' connectors completed from vehicles: a kernel per scenario, which sees its drivable lanes, its vehicles and its lights.
+
+    New lights follow the old ones; scenarios without any light stay as they are, since a junction needs an observed state.
+    """
+    lanes = elements.filter(F.col("type").isin(*DRIVABLE) & (F.size("polyline") >= 2)).select("scenario_id", "seq", F.lit("lane").alias("what"), F.struct("element_id", "polyline", "entry_lanes", "exit_lanes", "left_neighbor", "right_neighbor").alias("lane"))
+    cars = tracks.filter((F.col("kind") == "agent") & (F.col("type") == AGENT_TYPES["vehicle"])).select("scenario_id", "seq", F.lit("car").alias("what"), F.struct("track_id", "position", "heading", "velocity", "valid").alias("car"))
+    known = lights.select("scenario_id", "seq", F.lit("light").alias("what"), F.struct("light_id", "position", "states", "controlled_lane").alias("light"))
+    every = lanes.unionByName(cars, allowMissingColumns=True).unionByName(known, allowMissingColumns=True)
+    every = every.join(lights.select("scenario_id").distinct(), "scenario_id", "left_semi").join(header.select("scenario_id", "scenario_length", "dt"), "scenario_id")
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("seq", kind="stable")
+        n, dt, of = int(f["scenario_length"].iloc[0]), float(f["dt"].iloc[0]), lambda w: f[f["what"] == w][w]
+        rows = lambda p, *c: np.array([[q[k] for k in c] for q in p], dtype=np.float64).reshape(-1, len(c))
+        ids = lambda x: [] if x is None else [int(i) for i in x]
+        table = {int(e["element_id"]): L.Lane(int(e["element_id"]), rows(e["polyline"], "x", "y", "z"), ids(e["entry_lanes"]), ids(e["exit_lanes"]), ids(e["left_neighbor"]), ids(e["right_neighbor"]), np.full(n, L.ABSENT)) for e in of("lane")}
+        states = {int(x["light_id"]): {"position": [x["position"][c] for c in "xyz"], "states": ids(x["states"]), "controlled_lane": int(x["controlled_lane"])} for x in of("light")}
+        for s in states.values():
+            lane = table.get(s["controlled_lane"])
+            if lane is not None:
+                own = np.array(s["states"][:n], dtype=int)
+                lane.seen[: len(own)] = np.where((own >= L.RED) & (own <= L.GREEN), own, L.UNKNOWN)
+        cars = [(int(c["track_id"]), rows(c["position"], "x", "y", "z"), np.asarray(c["heading"], dtype=float), rows(c["velocity"], "x", "y"), np.asarray(c["valid"]).astype(bool)) for c in of("car")]
+        out = L.interpolate(table, cars, states, dt, n)
+        return pd.DataFrame(
+            [(int(f["scenario_id"].iloc[0]), k, i, dict(zip("xyz", map(float, s["position"]), strict=True)), [int(x) for x in s["states"]], s["controlled_lane"]) for i, (k, s) in enumerate(out.items())],
+            columns=["scenario_id", "light_id", "seq", "position", "states", "controlled_lane"],
+        )
+
+    return every.groupBy("scenario_id").applyInPandas(run, LIGHT)
