@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import controls, elements, graph, overlap, refs, routes, signals, validation, zones
+from ..operators import controls, elements, graph, overlap, refs, routes, shoulders, signals, validation, zones
 from ..schema import Scenarios
 
 Stage = Callable[[Scenarios, "Config"], Scenarios]
@@ -31,6 +31,8 @@ class Config:
     min_route_valid_points: float = 0.0
     route_check_timestep: int = 0
     interpolate_tl: bool = False
+    non_drivable_shoulders: bool = False
+    ramp_widening_m: float = 0.0
     reverse_road_edges: bool = False
     invalid_agent_overlap: bool = False
     no_speed_zones: bool = False
@@ -66,6 +68,10 @@ def _lights(s: Scenarios, c: Config) -> Scenarios:
     return dataclasses.replace(s, lights=signals.interpolate(s.lights, s.elements, s.tracks, s.header))
 
 
+def _shoulders(s: Scenarios, c: Config) -> Scenarios:
+    return s if s.surfaces is None else dataclasses.replace(s, elements=shoulders.shoulder_edges(s.elements, s.surfaces, c.ramp_widening_m))
+
+
 def _polylines(s: Scenarios, c: Config) -> Scenarios:
     return dataclasses.replace(s, elements=elements.process_polylines(s.elements, c.max_segment_length, c.area_threshold))
 
@@ -117,7 +123,7 @@ def _dense(s: Scenarios, c: Config) -> Scenarios:
 def stages(c: Config) -> list[Stage]:
     """The stages that a configuration asks for, in order."""
     chosen = [
-        (c.interpolate_tl, _lights), (c.reverse_road_edges, _reversed), (True, _polylines), (True, _polygons), (True, _pruned), (True, _controls), (True, _routes), (c.invalid_agent_overlap, _overlaps),
+        (c.interpolate_tl, _lights), (c.non_drivable_shoulders, _shoulders), (c.reverse_road_edges, _reversed), (True, _polylines), (True, _polygons), (True, _pruned), (True, _controls), (True, _routes), (c.invalid_agent_overlap, _overlaps),
         (not c.no_speed_zones, _zones), (True, _widths), (True, _lengths), (True, _graph), (not c.no_reindex, _dense),
     ]
     return [stage for wanted, stage in chosen if wanted]
