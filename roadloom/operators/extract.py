@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import points as P
-from ..schema import AGENT_LABELS, EDGE_KINDS, LANE_KINDS, LIGHT_STATES, LIGHT_STATUS, LINE_KINDS, MISC_TYPES, OBJECT_LABELS, ZONE_KINDS, code
+from ..schema import AGENT_LABELS, EDGE_KINDS, LANE_KINDS, LIGHT_STATES, LIGHT_STATUS, LINE_KINDS, MISC_TYPES, OBJECT_LABELS, ZONE_KINDS, Scenarios, code
+from .tracks import nested, scaffold, velocity_fill
 
 KEY = "scenario_id"
 #: Distance from the ego's path within which map objects are kept, in metres. Fixed value.
@@ -197,3 +198,49 @@ def swap_reversed_refs(lanes: DataFrame) -> DataFrame:
 def zero_heights(points: str) -> Column:
     """Points on the plane z = 0, for maps without heights."""
     return F.transform(points, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), F.lit(0.0).alias("z")))
+
+
+def scenarios(raw: dict[str, DataFrame]) -> Scenarios:
+    """Scenario tables from recorded ones.
+
+    ``raw`` has scenes (scenario_id, name, dataset, location, scenario_length, dt, has_z), ego and detections (one row
+    per frame and sight), lights (sights), objects (raw map objects) and groups (lane_ids, intersection_id); missing
+    tables are empty. Scenes with frames need an ego in each of them and a positive time step; others raise.
+    """
+    scenes = raw["scenes"]
+    short = raw["ego"].groupBy(KEY).agg(F.countDistinct("t").alias("n"))
+    bad = scenes.join(short, KEY, "left").filter((F.col("scenario_length") > 0) & ((F.coalesce("n", F.lit(0)) < F.col("scenario_length")) | ~(F.col("dt") > 0)))
+    if wrong := [r[KEY] for r in bad.select(KEY).limit(5).collect()]:
+        raise ValueError(f"scenes without an ego in every frame or without a time step: {wrong}")
+    grouped = F.coalesce(F.exists(F.collect_set(F.col("lane_group_id").isNotNull()).over(Window.partitionBy(KEY)), lambda x: x), F.lit(False))
+    objects = raw["objects"].withColumn("_groups", grouped)
+    objects = objects.withColumn("lane_type", F.col("kind")).filter((F.lower("layer") != "lane") | routable(F.col("_groups")))
+    vertices = objects.filter(F.lower("layer") == "lane").select(KEY, F.explode("points").alias("p")).select(KEY, "p.x", "p.y", "p.z")
+    centre = centroids(raw["ego"], vertices, scenes)
+    elements = number_elements(raw_elements(objects, centre))
+    lanes = junction_lanes(swap_reversed_refs(elements.filter(F.col("layer") == "lane")), raw["groups"])
+    rest = elements.filter(F.col("layer") != "lane").withColumn("in_junction", F.lit(False))
+    elements = lanes.unionByName(rest, allowMissingColumns=True).drop("layer")
+    elements = elements.withColumns({"length": F.lit(0.0), "cum_length": F.lit(None).cast("array<double>"), "width": F.lit(None).cast("array<double>"), "speed_zone_idx": F.lit(-1)})
+    ids = lanes.select(KEY, "element_id")
+    flat, labels = states(raw["ego"], raw["detections"], centre)
+    split = split_labels(labels).filter("kind is not null")
+    every = velocity_fill_by_scene(scaffold(flat, scenes), scenes)
+    whole = nested(every.withColumn("type", F.lit(0))).drop("type").join(split.select(KEY, F.col("track_id"), "kind", "type"), [KEY, "track_id"])
+    none = F.array().cast("array<bigint>")
+    tracks = whole.withColumns({"track_id": F.col("track_id").cast("long"), "seq": F.col("track_id").cast("int"), "route": none, "route_gt_len": F.lit(0), "control_state": F.lit(2)})
+    raw_lanes = objects.filter(F.lower("layer") == "lane").select(KEY, F.col("object_id").alias("element_id"), F.col("points").alias("polyline"))
+    found = lights(raw["lights"], raw_lanes, scenes, centre)
+    zones = stop_zones(objects, ids, centre)
+    flatten = lambda df, *cols: df.join(scenes.select(KEY, "has_z"), KEY).withColumns({c: F.when(F.col("has_z"), F.col(c)).otherwise(zero_heights(c)) for c in cols}).drop("has_z")
+    low = found.join(scenes.select(KEY, "has_z"), KEY).withColumn("position", F.when(F.col("has_z"), F.col("position")).otherwise(F.struct(F.col("position.x").alias("x"), F.col("position.y").alias("y"), F.lit(0.0).alias("z")))).drop("has_z")
+    header = scenes.select(KEY, "name", "dataset", "location", "scenario_length", "dt", none.alias("objects_of_interest"), none.alias("tracks_to_predict"))
+    return Scenarios(header, flatten(tracks, "position"), flatten(elements, "polyline", "polygon", "left_boundary", "right_boundary"), low, flatten(zones, "polygon"))
+
+
+def velocity_fill_by_scene(frames: DataFrame, scenes: DataFrame) -> DataFrame:
+    """Missing velocities by each scene's own time step."""
+    out = velocity_fill(frames, 1.0).join(scenes.select(KEY, "dt"), KEY)
+    seen = frames.select(KEY, "track_id", "t", (F.col("vx").isNotNull() & F.col("vy").isNotNull() & ~F.isnan("vx") & ~F.isnan("vy")).alias("_seen"))
+    out = out.join(seen, [KEY, "track_id", "t"])
+    return out.withColumns({c: F.when(F.col("_seen"), F.col(c)).otherwise(F.col(c) / F.col("dt")) for c in ("vx", "vy")}).drop("_seen", "dt")

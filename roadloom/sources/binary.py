@@ -8,9 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import codec
-from ..schema import POINTS
+from ..schema import POINTS, Scenarios, geometry
 
 KEY = "scenario_id"
 _TRACK = (
@@ -64,7 +65,6 @@ def decoded(files: DataFrame, static: bool = False) -> DataFrame:
     """``files`` (path, content) as rows of SCENARIO; a file that can't be read gives a row with its ``error`` and nothing else."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in ("path", "error")]
         for f in frames:
             out = []
             for path, data in zip(f["path"], f["content"], strict=True):
@@ -74,7 +74,6 @@ def decoded(files: DataFrame, static: bool = False) -> DataFrame:
                     out.append({"path": path, "error": str(e)})
             if out:
                 yield pd.DataFrame(out).reindex(columns=_COLUMNS).astype(object).where(lambda d: d.notna(), None) if any(r["error"] for r in out) else pd.DataFrame(out, columns=_COLUMNS)
-            del names
 
     return files.select("path", "content").mapInPandas(run, SCENARIO)
 
@@ -135,3 +134,75 @@ def write(scenarios: DataFrame, folder: str, overwrite: bool = False) -> DataFra
 def map_rows(scenarios: DataFrame) -> DataFrame:
     """One row per map element of decoded scenarios."""
     return scenarios.filter("error is null").select("path", F.posexplode("elements").alias("seq", "e")).select("path", "seq", "e.*")
+
+
+def from_tables(s: Scenarios, names: DataFrame) -> DataFrame:
+    """Rows of SCENARIO from scenario tables: one row per scenario, entities in their order, ``names`` gives the path. Scenarios come with all their tables or empty lists."""
+    ordered = lambda df, fields, out: df.groupBy(KEY).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.struct(*fields).alias("e")))), lambda x: x["e"]).alias(out))
+    track = [F.col("track_id").alias("id"), "type", "position", "heading", "velocity", "valid", "length", "width", "height"]
+    on = F.filter(F.arrays_zip("position", "valid"), lambda f: f["valid"] > 0)
+    goal = F.when(F.size(on) > 0, F.element_at(on, -1)["position"])
+    zero = F.lit(0.0)
+    goal = F.array(*(F.coalesce(goal[c], zero) for c in "xyz")).alias("goal")
+    agents = ordered(s.tracks.filter("kind = 'agent'"), [*track, "route", "route_gt_len", "control_state", goal], "agents")
+    objects = ordered(s.tracks.filter("kind = 'object'"), track, "objects")
+    points = geometry().alias("points")
+    element = [F.col("element_id").alias("id"), "type", points, "entry_lanes", "exit_lanes", "speed_limit_mps", "length", "cum_length", "width", "speed_zone_idx"]
+    rows = s.header.join(names.select(KEY, "path"), KEY).join(ordered(s.elements, element, "elements"), KEY, "left").join(agents, KEY, "left").join(objects, KEY, "left")
+    if s.controls is not None:
+        control = [F.col("control_id").alias("id"), "type", "stop_line", "heading", "states", "controlled_lanes", "junction_id", "phase_idx"]
+        rows = rows.join(ordered(s.controls, control, "controls"), KEY, "left")
+    if s.distances is not None:
+        cells = F.array_sort(F.collect_list(F.struct("src_pos", "dst_pos", "distance")))
+        ids = F.array_sort(F.collect_list(F.when(F.col("src_pos") == F.col("dst_pos"), F.struct("src_pos", "src"))))
+        graph = s.distances.groupBy(KEY).agg(F.transform(cells, lambda c: c["distance"]).alias("distances"), F.transform(ids, lambda c: c["src"]).alias("lane_ids"))
+        rows = rows.join(graph, KEY, "left")
+    wanted = {f.name: f.dataType for f in _schema().fields}
+    blank = {"error": F.lit(None).cast("string")}
+    for c in ("agents", "objects", "elements", "controls", "lane_ids", "distances"):
+        blank[c] = F.coalesce(F.col(c), F.array().cast(wanted[c])) if c in rows.columns else F.array().cast(wanted[c])
+    return rows.withColumns(blank).select(*(F.col(c).cast(t).alias(c) for c, t in wanted.items()))
+
+
+def _schema() -> StructType:
+    return StructType.fromDDL(SCENARIO)
+
+
+def transformed(scenarios: DataFrame, catalogue: dict) -> DataFrame:
+    """Rows of SCENARIO with a ``variant`` under that variant's matrix (none for the empty name): geometry about the mean vertex, widths, stop lines, headings, lengths and the lane graph."""
+    from ..functions.polylines import arc_lengths, densified
+    from ..operators.affine import LONGEST, stretched_widths, stretches
+    from ..operators.graph import distances_from
+
+    def vary(s: dict, m) -> dict:
+        every = np.concatenate([e["points"][:, :2] for e in s["elements"] if len(e["points"])])
+        centre, matrix = every.mean(axis=0), np.array(m).reshape(2, 2)
+
+        def move(xyz: np.ndarray) -> np.ndarray:
+            out = np.array(xyz, dtype=np.float64)
+            out[:, :2] = (out[:, :2] - centre) @ matrix.T + centre
+            return out
+
+        for e in s["elements"]:
+            old, new = e["points"], move(e["points"])
+            fine = densified(new, LONGEST) if stretches(m) else new
+            if 0 <= e["type"] <= 9:
+                e["width"] = np.interp(arc_lengths(fine), arc_lengths(new), stretched_widths(np.asarray(e["width"], dtype=float), old[:, :2], m))
+                e["cum_length"] = arc_lengths(fine)
+                e["length"] = float(e["cum_length"][-1]) if len(fine) else 0.0
+            e["points"] = fine
+        for c in s["controls"]:
+            c["stop_line"] = move(c["stop_line"])
+            x, y = matrix @ [np.cos(c["heading"]), np.sin(c["heading"])]
+            c["heading"] = float(np.arctan2(y, x))
+        lanes = [e for e in s["elements"] if e["type"] in (1, 2)]
+        ids = [e["id"] for e in lanes]
+        d = distances_from(ids, ids, {e["id"]: e["length"] for e in lanes}, {e["id"]: list(e["exit_lanes"]) for e in lanes})
+        return s | {"graph": {"lane_ids": ids, "distances": d} if ids else None}
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = [r if not r["variant"] else to_row(vary(from_row(r), catalogue[r["variant"]]), r["path"]) for r in f.to_dict("records")]
+            yield pd.DataFrame(out).reindex(columns=_COLUMNS)
+
+    return scenarios.mapInPandas(run, SCENARIO)
