@@ -25,6 +25,8 @@ from .common import Scratch, fold, rank_in_sample, small_batches, text_rows
 
 #: Labelled rows per language that the classifiers are fitted on (an upper bound in expectation, drawn by id hash).
 FIT_ROWS = 1500
+#: Languages that are learned, the commonest, at most.
+LANGUAGES = 1000
 BUCKETS = 1 << 15
 CHUNK = 1 << 18
 #: Two nearest codewords closer in probability than this make a text ambiguous.
@@ -127,7 +129,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     scratch = Scratch(spark, "language-id")
     rows = text_rows(docs, F.col("lang").cast("string").alias("lang")).filter("text is not null and lang is not null")
     rows = rows.filter(fold("doc_id", 4) != 2)
-    found = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    found = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     langs = sorted(found)
     if not langs:
         return Model([], np.zeros((1, 1)), np.zeros((0, 0)), np.zeros((0, 0)), np.ones(1))
