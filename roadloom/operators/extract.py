@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -218,7 +219,7 @@ def scenarios(raw: dict[str, DataFrame]) -> Scenarios:
     vertices = objects.filter(F.lower("layer") == "lane").select(KEY, F.explode("points").alias("p")).select(KEY, "p.x", "p.y", "p.z")
     centre = centroids(raw["ego"], vertices, scenes)
     elements = number_elements(raw_elements(objects, centre))
-    lanes = junction_lanes(swap_reversed_refs(elements.filter(F.col("layer") == "lane")), raw["groups"])
+    lanes = junction_lanes(swap_reversed_refs(infer_types(elements.filter(F.col("layer") == "lane"))), raw["groups"])
     rest = elements.filter(F.col("layer") != "lane").withColumn("in_junction", F.lit(False))
     elements = lanes.unionByName(rest, allowMissingColumns=True).drop("layer")
     elements = elements.withColumns({"length": F.lit(0.0), "cum_length": F.lit(None).cast("array<double>"), "width": F.lit(None).cast("array<double>"), "speed_zone_idx": F.lit(-1)})
@@ -244,3 +245,25 @@ def velocity_fill_by_scene(frames: DataFrame, scenes: DataFrame) -> DataFrame:
     seen = frames.select(KEY, "track_id", "t", (F.col("vx").isNotNull() & F.col("vy").isNotNull() & ~F.isnan("vx") & ~F.isnan("vy")).alias("_seen"))
     out = out.join(seen, [KEY, "track_id", "t"])
     return out.withColumns({c: F.when(F.col("_seen"), F.col(c)).otherwise(F.col(c) / F.col("dt")) for c in ("vx", "vy")}).drop("_seen", "dt")
+
+
+def infer_types(lanes: DataFrame) -> DataFrame:
+    """Lanes of unknown type take the type of the lanes that they are linked to, if that is one type; in the lanes' order, so that a lane sees what earlier ones took.
+
+    Only scenarios with such lanes go through the kernel; links are taken as they are before any is swapped.
+    """
+    unknown = LANE_KINDS["undefined"]
+    todo = lanes.filter(F.col("type") == unknown).select(KEY).distinct()
+    rows = lanes.join(todo, KEY, "left_semi").select(KEY, "element_id", "seq", "type", F.concat("entry_lanes", "exit_lanes").alias("links"))
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("seq", kind="stable")
+        types = dict(zip(f["element_id"].tolist(), f["type"].tolist(), strict=True))
+        for i, t, links in zip(f["element_id"].tolist(), f["type"].tolist(), f["links"], strict=True):
+            if t == unknown:
+                near = {types[int(x)] for x in links if int(x) in types}
+                types[i] = near.pop() if len(near) == 1 else t
+        return pd.DataFrame({KEY: f[KEY], "element_id": f["element_id"], "_type": [types[i] for i in f["element_id"].tolist()]})
+
+    new = rows.groupBy(KEY).applyInPandas(run, f"{KEY} long, element_id long, _type int")
+    return lanes.join(new, [KEY, "element_id"], "left").withColumn("type", F.coalesce("_type", "type")).drop("_type")

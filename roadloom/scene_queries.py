@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadloom import schema
 from roadloom.functions import points as P
-from roadloom.operators import controls, elements, extract, overlap, refs, routes, tracks, validation, viewer, zones
+from roadloom.operators import controls, elements, extract, overlap, refs, routes, signals, tracks, validation, viewer, zones
 from roadloom.plans import convert
 from roadloom.sources import bridge
 from roadloom.sources.bridge import STATES_SQL, VERTICES_SQL
@@ -230,6 +230,38 @@ def route_crops(s: SparkSession, d: str) -> DataFrame:
     return e.select(KEY, "element_id", F.size(viewer.crop(F.col("points"), start)).alias("n_left"), F.round(P.length(F.col("points"), P.PLANE), 6).alias("length"))
 
 
+def agent_routes(s: SparkSession, d: str) -> DataFrame:
+    """Routes of all vehicles, solved in kernels."""
+    none = F.array().cast("array<bigint>")
+    first = _agents(s, d).withColumns({"seq": (F.col("track_id") % bridge.USERS).cast("int"), "track_id": F.col("track_id") + 1, "route": none, "route_gt_len": F.lit(0), "control_state": F.lit(2)})
+    out = routes.agent_routes(first, _map(s, d), _lengths(s, d))
+    return out.select(KEY, "track_id", F.size("route").alias("n_lanes"), "route_gt_len", "control_state", F.array_join(F.transform("route", lambda x: x.cast("string")), ">").alias("route"))
+
+
+def simplified_lines(s: SparkSession, d: str) -> DataFrame:
+    """Lines after the polyline stage: repeated points out, simplified, densified."""
+    e = elements.process_polylines(_map(s, d).filter("polyline is not null"), 10.0, 0.1)
+    return _round(e.select(KEY, "element_id", F.size("polyline").alias("n_points"), P.length(F.col("polyline")).alias("length")), "length")
+
+
+def speed_zones(s: SparkSession, d: str) -> DataFrame:
+    """Speed zones of lanes grouped by ten."""
+    e = _map(s, d).withColumns({"speed_limit_mps": (F.col("element_id") % 3 * 5 + 10).cast("double"), "lane_group_id": F.floor(F.col("element_id") / 10), "in_junction": F.col("element_id") % 11 == 0, "speed_zone_idx": F.lit(-1)})
+    return zones.speed_zones(e).filter(schema.is_lane()).select(KEY, "element_id", "speed_zone_idx")
+
+
+def signal_states(s: SparkSession, d: str) -> DataFrame:
+    """States of lights completed from vehicles; the bridge has few junctions, so most stay as they are."""
+    states, frames = bridge.track_states(s, d), _lengths(s, d)
+    state = F.expr("case label when 'view' then 3 when 'click' then 1 when 'purchase' then 2 else 0 end")
+    seen = states.groupBy(KEY, "track_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("t", state.alias("s")))), lambda x: x["s"]).alias("states"))
+    lights = seen.select(KEY, (F.col(KEY) * bridge.ORDERS + F.col("track_id") % bridge.USERS).alias("light_id"), (F.col("track_id") % bridge.USERS).cast("int").alias("seq"), F.struct(*(F.lit(0.0).alias(c) for c in "xyz")).alias("position"), "states")
+    lights = lights.withColumn("controlled_lane", F.col("light_id"))
+    cars = _agents(s, d).withColumn("seq", F.col("track_id").cast("int"))
+    out = signals.interpolate(lights, _map(s, d), cars, frames)
+    return out.select(KEY, "light_id", "seq", F.array_join(F.transform("states", lambda x: x.cast("string")), "").alias("states"))
+
+
 _MAP = f"{VERTICES_SQL}, elems as (select scenario_id, element_id, type, count(*) as n from vertices group by all), lanes as (select * from elems where type between 0 and 9)"
 _LINKS = """links as (select a.scenario_id, a.element_id as a, b.element_id as b, k from e a, (values (40, 0), (48, 1)) o(step, k), e b where b.element_id = a.element_id + step and b.scenario_id = a.scenario_id)"""
 _BOX = "[{'x': x + cos(heading) * length / 2 + sin(heading) * width / 2, 'y': y + sin(heading) * length / 2 - cos(heading) * width / 2}, {'x': x + cos(heading) * length / 2 - sin(heading) * width / 2, 'y': y + sin(heading) * length / 2 + cos(heading) * width / 2}, {'x': x - cos(heading) * length / 2 - sin(heading) * width / 2, 'y': y - sin(heading) * length / 2 + cos(heading) * width / 2}, {'x': x - cos(heading) * length / 2 + sin(heading) * width / 2, 'y': y - sin(heading) * length / 2 - cos(heading) * width / 2}]"
@@ -347,7 +379,7 @@ select scenario_id, element_id, cast(n - near_k as integer) as n_left, length fr
 
 _QUERIES = [
     validate_dynamic, validate_sizes, validate_refs, edge_z_overlap, ring_close_densify, lane_widths, lane_lengths, heading_circular_mean, stop_line_cut, control_state, lane_paths_3hop, zone_extent, agent_overlap, junction_lanes,
-    light_state_pivot, corridor_map_filter, topology_swap_refs, prune_map, scene_filter, map_discovery_topn, name_search, element_layers, state_table, line_marks, output_names, vehicle_boxes, route_crops,
+    light_state_pivot, corridor_map_filter, topology_swap_refs, prune_map, scene_filter, map_discovery_topn, name_search, element_layers, state_table, line_marks, output_names, vehicle_boxes, route_crops, agent_routes, simplified_lines, speed_zones, signal_states,
 ]
 
 

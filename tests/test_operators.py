@@ -383,6 +383,12 @@ def test_map_extraction(spark):
     assert [r[0] for r in near.select(extract.in_corridor(F.col("g"), F.col("e"))).collect()] == [True, False]
 
 
+def test_types_of_undefined_lanes(spark):
+    line = _p((0, 0), (1, 0))
+    rows = _elements(spark, _element(1, 0, line, exit_lanes=[2]), _element(2, 0, line, exit_lanes=[3]), _element(3, 2, line), _element(4, 0, line, entry_lanes=[2], exit_lanes=[5]), _element(5, 1, line), _element(6, 0, line), _element(7, 0, line, entry_lanes=[2, 3]))
+    assert {r.element_id: r.type for r in extract.infer_types(rows).collect()} == {1: 0, 2: 2, 3: 2, 4: 0, 5: 1, 6: 0, 7: 2}
+
+
 def test_viewer(spark):
     line = _p((0, 0), (10, 0), (10, 0), (10, 10))
     t = _tracks(spark, _track(3, [(0, 0), (6, 1), (9, 0)], valid=[0, 1, 1], route=[5, 6], route_gt_len=1), _track(4, [(0, 0)] * 3, kind="object"))
