@@ -9,11 +9,13 @@ prefixes are shortened to the longest such length and new pairs verified, until
 shortest length is the one at which even pairs at the threshold meet with that probability.
 
 Only pairs that meet are verified, each once: at its longest shared prefix among the lengths used, in the first tree
-where it is shared. A trie node's classes are dealt to blocks of BLOCK; every pair of blocks is one group of bounded
-size, which counts common shingles and returns, per class, its number of links, the edges of a spanning forest, and a
-histogram of similarities. Nodes with the same classes are verified once. Rows do not grow with the square of a
-node's classes; its blocks' work does, as exact numbers of links need. Classes of the result are connected components
-of verified links, found by minimum labels that pass through edges and jump, each round written to the shared folder.
+where it is shared. A trie node's classes are dealt to blocks of about BLOCK classes and BLOCK_SHINGLES shingles;
+every pair of blocks is one group of bounded size, which counts common shingles and returns, per class, its number of
+links, the edges of a spanning forest, and a histogram of similarities. Nodes with the same classes are verified once.
+A class is copied to each pair that its block is in, so rows read grow with a node's classes times its blocks, and
+work with the square of the blocks, as exact numbers of links need; rows returned grow with the classes. Classes of
+the result are connected components of verified links, found by minimum labels that pass through edges and jump, each
+round written to the shared folder.
 
 Defined cases: a text of one to four words has its whole word sequence as its only shingle; null, empty and wordless
 texts are a class of their own for each row, without links; repeated rows are links of each other; a null doc_id
@@ -39,8 +41,8 @@ THRESHOLD = 0.8
 TREES = 24
 DEPTH = 8
 RECALL = 0.9999
-#: Classes in a block of verification.
-BLOCK = 256
+#: Classes and shingles in a block of verification, about.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
 #: Cells of an incidence matrix that are in memory at a time.
 CELLS = 1 << 23
 #: Steps of similarity in a histogram of links.
@@ -146,6 +148,7 @@ def _sketches(floor: int):
                     "doc_id": f["doc_id"],
                     "k1": f["k1"],
                     "set_id": pd.array([xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None for s in sets], dtype="Int64"),
+                    "size": np.array([len(s) for s in sets], dtype=np.int64),
                     "nodes": [p for p, _ in paths],
                     "deeper": [p for _, p in paths],
                 }
@@ -294,11 +297,11 @@ def _columns(parts: list[tuple]) -> pa.RecordBatch:
 
 def _met(near: DataFrame, held: DataFrame, done: DataFrame | None, depth: int, floor: int, before: int | None, threshold: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Verified links of pairs that meet at prefixes of ``depth`` but not of ``before``, and the keys of all nodes' sets of classes."""
-    at = near.select("member", F.posexplode(at_depth(depth, floor)).alias("tree", "node"))
-    same = [F.count("*").alias("k"), F.sum(F.xxhash64("member") % (1 << 40)).alias("h1"), F.bit_xor(F.xxhash64("member", F.lit(7))).alias("h2")]
+    at = near.select("member", "size", F.posexplode(at_depth(depth, floor)).alias("tree", "node"))
+    same = [F.count("*").alias("k"), F.sum("size").alias("shingles"), F.sum(F.xxhash64("member") % (1 << 40)).alias("h1"), F.bit_xor(F.xxhash64("member", F.lit(7))).alias("h2")]
     every = at.groupBy("node").agg(F.min("tree").alias("tree"), *same).filter("k > 1")
-    every = scratch.cut(every.groupBy("k", "h1", "h2").agg(F.min(F.struct("tree", "node")).alias("at")))
-    todo = (every.join(grown(done), ["k", "h1", "h2"], "left_anti") if done is not None else every).select("at.node", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+    every = scratch.cut(every.groupBy("k", "h1", "h2").agg(F.max("shingles").alias("shingles"), F.min(F.struct("tree", "node")).alias("at")))
+    todo = (every.join(grown(done), ["k", "h1", "h2"], "left_anti") if done is not None else every).select("at.node", F.ceil(F.greatest(F.col("k") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     dealt = at.join(grown(todo), "node").withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
     dealt = dealt.select("node", "tree", "member", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("node", "tree", "member", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
@@ -316,22 +319,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     scratch = Scratch(spark, "ngram-join")
     keyed = text_rows(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("k1"), "text")
     floor = shortest(threshold, recall)
-    rows = scratch.cut(keyed.mapInPandas(_sketches(floor), "doc_id long, k1 long, set_id long, nodes array<long>, deeper array<int>"))
+    rows = scratch.cut(keyed.mapInPandas(_sketches(floor), "doc_id long, k1 long, set_id long, size long, nodes array<long>, deeper array<int>"))
     worded = rows.filter("set_id is not null").withColumnRenamed("set_id", "member")
-    any_of = [F.any_value(c).alias(c) for c in ("nodes", "deeper")]
+    any_of = [F.any_value(c).alias(c) for c in ("size", "nodes", "deeper")]
     sets = scratch.cut(worded.groupBy("member").agg(F.min(F.struct("doc_id", "k1")).alias("first"), F.count("*").alias("n"), *any_of))
     # classes that meet any other at the shortest prefix; only their sets are needed
     at = sets.select("member", F.explode("nodes").alias("node"))
     shared = scratch.cut(at.groupBy("node").agg(F.count("*").alias("k")).filter("k > 1").select("node"))
     meeting = at.join(grown(shared), "node").select("member").distinct()
-    near = scratch.cut(sets.join(grown(meeting), "member").select("member", "first.doc_id", "first.k1", "n", "nodes", "deeper"))
+    near = scratch.cut(sets.join(grown(meeting), "member").select("member", "first.doc_id", "first.k1", "n", "size", "nodes", "deeper"))
     # a set is read once, from one of its rows: repeated rows give the same set
     of = keyed.join(grown(near.select("doc_id", "k1", "member")), ["doc_id", "k1"]).dropDuplicates(["doc_id", "k1"])
     held = of.select("member", "text").mapInArrow(_set_rows, "member long, s array<long>")
     held = scratch.cut(held.join(grown(near.select("member", "n", "nodes", "deeper")), "member"))
     links, done, before, depth, found = None, None, None, DEPTH, Counter()
     while depth is not None:
-        new, done = _met(near.select("member", "nodes", "deeper"), held, done, depth, floor, before, threshold, scratch)
+        new, done = _met(near.select("member", "size", "nodes", "deeper"), held, done, depth, floor, before, threshold, scratch)
         links = new if links is None else links.unionByName(new)
         for r in new.filter("member is null").groupBy("other").agg(F.sum("links").alias("n")).collect():
             found[min(1.0, max(threshold, (r["other"] + 0.5) / STEPS))] += r["n"]
