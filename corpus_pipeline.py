@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet to the shared folder and
 read again as the next one's docs. The first four keep the columns of ``documents``; the last gives the pieces of
 packed sequences.
+
+Defined cases: a null, empty or letterless text has no language and goes at the first stage; a null doc_id stays a row
+of its own and is carried to the pieces; rows that repeat an id and a text are near duplicates of each other, of which
+one stays; of texts that tie for a class the least doc_id (null first), then the least hash of the text, stays; very
+long texts are worked on whole; an empty table gives no rows, and an empty benchmark removes nothing; columns beside
+those of ``documents`` are kept as they are by the first four stages, also where their names clash with columns that a
+stage adds for itself.
 """
 
 from __future__ import annotations
