@@ -37,19 +37,36 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the Arrow batch size where it is larger; a batch of long texts must fit in a worker."""
+    """Lower the Arrow batch size where it is larger; a batch of long texts must fit in a worker. The session keeps the setting, as results are computed later."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > ARROW_ROWS:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+_made: list[tuple[SparkSession, str]] = []
+
+
+def _clear() -> None:
+    """Remove all scratch tables of this program, if its session's JVM still answers."""
+    for spark, base in _made:
+        try:
+            path = spark._jvm.org.apache.hadoop.fs.Path(base)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:  # noqa: BLE001  the program ends; nothing is left to do
+            return
+
+
+atexit.register(_clear)
+
+
 class Scratch:
-    """Written tables that cut lineage; ``drop`` frees those that later steps no longer read."""
+    """Written tables that cut lineage; ``drop`` frees those that later steps no longer read, and the program's end all others (results may be read until then)."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        _made.append((spark, self.base))
         self._n = 0
 
     def cut(self, df: DataFrame) -> DataFrame:

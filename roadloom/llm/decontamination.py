@@ -27,8 +27,8 @@ from .common import Scratch, text_rows
 WORDS = 5
 SKETCH = 8
 THRESHOLD = 0.8
-#: Rows (about 100 bytes each) up to which a checked side is broadcast.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes of text up to which a checked side is broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 16 << 20
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -56,9 +56,15 @@ def phrases(w: Column) -> Column:
     return _shingles(w, lambda c: F.concat_ws(" ", *c))
 
 
-def _sized(df: DataFrame) -> tuple[DataFrame, int]:
-    n = df.count()
-    return (F.broadcast(df) if n <= BROADCAST_ROWS else df), n
+def _key(text: Column) -> Column:
+    """Two hashes of a text that stand for it."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(text, F.lit(17)).alias("b"))
+
+
+def _sized(df: DataFrame, rows: Column | None = None, text: str | None = None) -> DataFrame:
+    """``df``, to be broadcast if the sum of ``rows`` (by default one each) and the bytes of a text column are within the bounds."""
+    n, size = df.agg(F.sum(rows if rows is not None else F.lit(1)), F.sum(F.octet_length(text) if text else F.lit(0))).first()
+    return F.broadcast(df) if (n or 0) <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
 
 
 def shown(rows: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
@@ -72,23 +78,23 @@ def shown(rows: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, k, item_id, n_shingles, n_shared, containment of each contained item; ``k`` is the hash of the text."""
+    """doc_id, k, item_id, n_shingles, n_shared, containment of each contained item; ``k`` has two hashes of the text."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontamination")
-    rows = text_rows(docs).withColumn("k", F.xxhash64("text"))
+    rows = text_rows(docs).withColumn("k", _key(F.col("text")))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).dropDuplicates(["item_id", "text"])
     items = items.withColumn("w", words(F.col("text"))).withColumn("item_k", F.xxhash64("text"))
     items = items.withColumn("phrases", F.array_distinct(phrases(F.col("w")))).filter("phrases is not null")
     items = items.withColumn("n_shingles", F.size("phrases").cast("long")).withColumn("partition", F.floor(F.log2("n_shingles")))
     items = scratch.cut(items.withColumn("sketch", F.slice(F.array_sort(F.array_distinct(hashes(F.col("w")))), 1, SKETCH)).drop("w", "text"))
     bounds = [tuple(r) for r in items.groupBy("partition").agg(F.max(F.array_max("sketch")).alias("bound")).collect()]
-    sketches, _ = _sized(items.select("partition", "item_id", "item_k", F.explode("sketch").alias("h")))
+    sketches = _sized(items.select("partition", "item_id", "item_k", F.explode("sketch").alias("h")))
     candidates = scratch.cut(shown(rows, bounds).join(sketches, ["partition", "h"]).select("doc_id", "k", "item_id", "item_k").distinct())
-    near, _ = _sized(candidates.groupBy("k").agg(F.collect_set(F.struct("item_id", "item_k")).alias("items")))
+    near = _sized(candidates.groupBy("k").agg(F.collect_set(F.struct("item_id", "item_k")).alias("items")), F.size("items"))
     texts = rows.select("k", "text").join(near, "k").dropDuplicates(["k"])
     said = texts.select("k", "items", F.explode(F.array_distinct(phrases(words(F.col("text"))))).alias("phrase"))
     wanted = items.select("item_id", "item_k", "n_shingles", F.explode("phrases").alias("phrase"))
-    wanted, _ = _sized(wanted)
+    wanted = _sized(wanted, text="phrase")
     shared = said.join(wanted, "phrase").filter(F.array_contains("items", F.struct("item_id", "item_k")))
     verified = shared.groupBy("k", "item_id", "item_k", "n_shingles").agg(F.count("*").alias("n_shared"))
     verified = verified.withColumn("containment", F.col("n_shared") / F.col("n_shingles")).filter(F.col("containment") >= THRESHOLD)
@@ -106,5 +112,5 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     own, k = docs.columns, "_k"
     while k in own:
         k += "_"
-    leaked, _ = _sized(Scratch(docs.sparkSession, "leaked").cut(find(docs, benchmark).select(F.col("k").alias(k)).distinct()))
-    return docs.withColumn(k, F.xxhash64(F.col("text").cast("string"))).join(leaked, k, "left_anti").select(*own)
+    leaked = _sized(Scratch(docs.sparkSession, "leaked").cut(find(docs, benchmark).select(F.col("k").alias(k)).distinct()))
+    return docs.withColumn(k, _key(F.col("text").cast("string"))).join(leaked, k, "left_anti").select(*own)

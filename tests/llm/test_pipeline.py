@@ -74,3 +74,25 @@ def test_pipeline(spark, tmp_path):
         assert r.offset == end.get(r.sequence_id, 0)
         end[r.sequence_id] = r.offset + r.length
     assert max(end.values()) <= 2048
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    rows, items = _corpus()
+    rows = [(d, t, lang, s, n, "k", "w", 1) for d, t, lang, s, n in rows[:60]]
+    rows += [(None, "zuzexovre zezexozu " * 30, "bb", None, None, None, None, None), (None, "zuzexovre zezexozu " * 30, "bb", None, None, None, None, None), (2, None, None, None, None, None, None, None)]
+    # names that stages use for themselves
+    docs = spark.createDataFrame(rows, SCHEMA + ", _k string, _language string, spans int")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+    first = corpus_pipeline.identify_language(spark, docs, str(tmp_path))
+    assert first.filter("doc_id is null").count() == 2 and first.filter("text is null").count() == 0
+    assert corpus_pipeline.join_ngrams(spark, first, str(tmp_path)).filter("doc_id is null").count() == 1
+    assert corpus_pipeline.pack(spark, docs, str(tmp_path)).filter("doc_id is null").count() >= 2
+
+
+def test_empty_documents_and_benchmark(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
