@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lights as L
+from ..functions import points as P
 from ..schema import AGENT_TYPES, DRIVABLE, LIGHT
 from .tracks import TRACK, _by_time
 
@@ -69,3 +70,29 @@ def interpolate(lights: DataFrame, elements: DataFrame, tracks: DataFrame, heade
         )
 
     return every.groupBy("scenario_id").applyInPandas(run, LIGHT)
+
+
+def acceleration_weight(vertices: Column, a: Column) -> Column:
+    """How much an acceleration tells so many vertices before the stop line."""
+    d = vertices * L.VERTEX
+    return F.when((d < -8) | ((a < 0) & (d < 0)) | (d >= 30), 0.0).when(d <= 15, 1.0).otherwise((d - 30) * (d - 30) / 225)
+
+
+def speed_weight(vertices: Column, v: Column) -> Column:
+    """How much a speed tells so many vertices before the stop line."""
+    d = vertices * L.VERTEX
+    full = F.when(v <= 12, F.lit(9.0) / 36 * (v - 6) * (v - 6) + 6).otherwise(F.least(v + 3, F.lit(30.0)))
+    return F.when((d < -12) | (d > 2 * full), 0.0).when(d <= full, 1.0).otherwise((d - 2 * full) * (d - 2 * full) / (full * full))
+
+
+def neighbour_kinds(pairs: DataFrame) -> DataFrame:
+    """``pairs`` of lines (a, b) with what b is beside a: a true neighbour, a lane that splits off, or one that joins."""
+    ends = lambda c: (F.get(c, F.lit(0)), F.element_at(c, -1))
+    (a0, a1), (b0, b1) = ends("a"), ends("b")
+    ux, uy, vx, vy = a1["x"] - a0["x"], a1["y"] - a0["y"], b1["x"] - b0["x"], b1["y"] - b0["y"]
+    size = F.sqrt((ux * ux + uy * uy) * (vx * vx + vy * vy))
+    cosine = F.when(size > 0, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (ux * vx + uy * vy) / size)))
+    along = F.coalesce(F.degrees(F.acos(cosine)) < L.PARALLEL, F.lit(False))
+    start, end = P.distance(a0, b0), P.distance(a1, b1)
+    near = F.when(along, L.TOUCH).otherwise(L.CLOSE)
+    return pairs.withColumns({"neighbour": along, "splits": start < near, "joins": (start >= near) & (end < near)})

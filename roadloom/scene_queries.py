@@ -262,6 +262,22 @@ def signal_states(s: SparkSession, d: str) -> DataFrame:
     return out.select(KEY, "light_id", "seq", F.array_join(F.transform("states", lambda x: x.cast("string")), "").alias("states"))
 
 
+def relevance_weights(s: SparkSession, d: str) -> DataFrame:
+    """Weights of accelerations and speeds at distances from a stop line."""
+    v = bridge.track_states(s, d).filter("vx is not null")
+    n = (F.col("track_id") * 7 + F.col("t")) % 140 - 30
+    speed, a = F.col("vx") - 15 + F.col("t") % 25, F.col("vx") - 16
+    return _round(v.select(KEY, "track_id", "t", signals.acceleration_weight(n, a).alias("f"), signals.speed_weight(n, speed).alias("g")), "f", "g")
+
+
+def neighbour_types(s: SparkSession, d: str) -> DataFrame:
+    """What the lane one id on is beside each lane."""
+    e = bridge.elements(s, d).filter(schema.is_lane()).select(KEY, "element_id", "points")
+    other = e.select(KEY, (F.col("element_id") - 1).alias("element_id"), F.col("points").alias("b"))
+    pairs = e.withColumnRenamed("points", "a").join(other, [KEY, "element_id"])
+    return signals.neighbour_kinds(pairs).select(KEY, "element_id", "neighbour", "splits", "joins")
+
+
 _MAP = f"{VERTICES_SQL}, elems as (select scenario_id, element_id, type, count(*) as n from vertices group by all), lanes as (select * from elems where type between 0 and 9)"
 _LINKS = """links as (select a.scenario_id, a.element_id as a, b.element_id as b, k from e a, (values (40, 0), (48, 1)) o(step, k), e b where b.element_id = a.element_id + step and b.scenario_id = a.scenario_id)"""
 _BOX = "[{'x': x + cos(heading) * length / 2 + sin(heading) * width / 2, 'y': y + sin(heading) * length / 2 - cos(heading) * width / 2}, {'x': x + cos(heading) * length / 2 - sin(heading) * width / 2, 'y': y + sin(heading) * length / 2 + cos(heading) * width / 2}, {'x': x - cos(heading) * length / 2 - sin(heading) * width / 2, 'y': y - sin(heading) * length / 2 + cos(heading) * width / 2}, {'x': x - cos(heading) * length / 2 + sin(heading) * width / 2, 'y': y - sin(heading) * length / 2 - cos(heading) * width / 2}]"
@@ -372,6 +388,16 @@ from m where 0.4::double * 3.0::double + k * 3.0::double > a and 0.4::double * 3
 from (select o_orderkey, o_custkey, regexp_replace(o_orderpriority, '[^A-Za-z0-9._-]+', '_', 'g') as o_orderpriority from orders)""",
     "vehicle_boxes": f"""with {STATES_SQL}, f as (select scenario_id, track_id, t, {_BOX} as box from states where valid = 1), u as (select scenario_id, track_id, t, unnest(range(0, 4)) as corner, box from f)
 select scenario_id, track_id, t, cast(corner as integer) as corner, round(box[corner + 1].x, 6) + 0.0 as x, round(box[corner + 1].y, 6) + 0.0 as y from u""",
+    "relevance_weights": f"""with {STATES_SQL}, n as (select scenario_id, track_id, t, ((track_id * 7 + t) % 140 - 30) * 0.5::double as d, vx - 16 as a, vx - 15 + t % 25 as v from states where vx is not null),
+w as (select *, case when v <= 12 then 9.0::double / 36 * (v - 6) * (v - 6) + 6 else least(v + 3, 30.0::double) end as full_ from n)
+select scenario_id, track_id, t, round(case when d < -8 or (a < 0 and d < 0) or d >= 30 then 0.0::double when d <= 15 then 1.0::double else (d - 30) * (d - 30) / 225 end, 6) + 0.0 as f,
+  round(case when d < -12 or d > 2 * full_ then 0.0::double when d <= full_ then 1.0::double else (d - 2 * full_) * (d - 2 * full_) / (full_ * full_) end, 6) + 0.0 as g from w""",
+    "neighbour_types": f"""with {VERTICES_SQL}, e as (select scenario_id, element_id, arg_min(x, pt) as sx, arg_min(y, pt) as sy, arg_min(z, pt) as sz, arg_max(x, pt) as ex, arg_max(y, pt) as ey, arg_max(z, pt) as ez from vertices where type between 0 and 9 group by all),
+p as (select a.scenario_id, a.element_id, sqrt(power(a.sx - b.sx, 2) + power(a.sy - b.sy, 2) + power(a.sz - b.sz, 2)) as s, sqrt(power(a.ex - b.ex, 2) + power(a.ey - b.ey, 2) + power(a.ez - b.ez, 2)) as e,
+    a.ex - a.sx as ux, a.ey - a.sy as uy, b.ex - b.sx as vx, b.ey - b.sy as vy from e a join e b on b.element_id = a.element_id + 1 and b.scenario_id = a.scenario_id),
+q as (select *, sqrt((ux * ux + uy * uy) * (vx * vx + vy * vy)) as size from p),
+r as (select *, case when size > 0 then degrees(acos(greatest(-1.0, least(1.0, (ux * vx + uy * vy) / size)))) < 15 else false end as neighbour from q)
+select scenario_id, element_id, neighbour, s < case when neighbour then 1 else 5 end as splits, s >= case when neighbour then 1 else 5 end and e < case when neighbour then 1 else 5 end as joins from r""",
     "route_crops": f"""with {VERTICES_SQL}, l as (select *, x - lag(x) over w as dx, y - lag(y) over w as dy from vertices where type between 0 and 9 window w as (partition by element_id order by pt)),
 c as (select scenario_id, element_id, count(*) as n, arg_min(pt, {{'d': sqrt(power(x - 300, 2) + power(y - 20, 2)), 'pt': pt}}) as near_k, round(coalesce(sum(sqrt(dx * dx + dy * dy)), 0), 6) as length from l group by all)
 select scenario_id, element_id, cast(n - near_k as integer) as n_left, length from c""",
@@ -379,7 +405,7 @@ select scenario_id, element_id, cast(n - near_k as integer) as n_left, length fr
 
 _QUERIES = [
     validate_dynamic, validate_sizes, validate_refs, edge_z_overlap, ring_close_densify, lane_widths, lane_lengths, heading_circular_mean, stop_line_cut, control_state, lane_paths_3hop, zone_extent, agent_overlap, junction_lanes,
-    light_state_pivot, corridor_map_filter, topology_swap_refs, prune_map, scene_filter, map_discovery_topn, name_search, element_layers, state_table, line_marks, output_names, vehicle_boxes, route_crops, agent_routes, simplified_lines, speed_zones, signal_states,
+    light_state_pivot, corridor_map_filter, topology_swap_refs, prune_map, scene_filter, map_discovery_topn, name_search, element_layers, state_table, line_marks, output_names, vehicle_boxes, route_crops, relevance_weights, neighbour_types, agent_routes, simplified_lines, speed_zones, signal_states,
 ]
 
 
