@@ -61,21 +61,30 @@ def convert_tables(spark: SparkSession, source: str, output: str, c: convert.Con
     if twice := [r["path"] for r in convert.duplicate_names(names).limit(5).collect()]:
         raise ValueError(f"scenarios share file names: {twice}")
     good, bad = convert.checked(s, c) if c.validate_level else (s, s.header.select("scenario_id", F.lit("").alias("error")).limit(0))
-    done = convert.run(good, c)
+    # kept, as validation, writing and the lists of failures all read them; a lost part is computed again
+    bad = bad.persist()
+    done = _kept(convert.run(good, c))
+    whole = done
     if c.validate_level:
         after = dataclasses.replace(done, lights=None, zones=None)
         sound, worse = convert.checked(after, c)
         done, bad = dataclasses.replace(sound, controls=done.controls, distances=done.distances), bad.unionByName(worse)
-    written = binary.write(binary.from_tables(done, names), output, overwrite)
-    written = written.cache()
+    written = binary.write(binary.from_tables(done, names), output, overwrite).persist()
     failed = written.filter("not ok").select(F.col("path").alias("what"), "error").unionByName(bad.select(F.col("scenario_id").cast("string").alias("what"), "error"))
     n = written.filter("ok").count()
     failed.write.mode("overwrite").json(f"{output}/failures.jsonl")
     if c.emit_metadata:
         names.join(done.header.select("scenario_id", "name", "scenario_length", "dt"), "scenario_id").select(F.col("path").alias("bin_path"), F.col("name").alias("scenario_id"), "dataset", "scenario_length", "dt").write.mode("overwrite").json(f"{output}/metadata.jsonl")
+    for t in (getattr(whole, f.name) for f in dataclasses.fields(whole)):
+        if t is not None:
+            t.unpersist()
     return convert.exit_code(s.header.count(), n), failed
 
 
+def _kept(s: Scenarios) -> Scenarios:
+    return Scenarios(**{f.name: None if (t := getattr(s, f.name)) is None else t.persist() for f in dataclasses.fields(s)})
+
+
 def _only(s: Scenarios, ids: DataFrame) -> Scenarios:
     take = lambda t: None if t is None else t.join(ids, "scenario_id", "left_semi")
     return Scenarios(**{f.name: take(getattr(s, f.name)) for f in dataclasses.fields(s)})
