@@ -95,7 +95,7 @@ def targets(indices: DataFrame, tokens: DataFrame, labelled: DataFrame) -> DataF
 
 
 def lights(detections: DataFrame, lanes: DataFrame, scenarios: DataFrame, centre: DataFrame) -> DataFrame:
-    """A light per lane that is in the map and has a centre line: position of the line's start, and a state per frame, UNKNOWN where none is seen; the last of a frame counts."""
+    """A light per lane that is in the map and has a centre line: position of the line's start, and a state per frame, UNKNOWN where none is seen; the last of a frame counts. Lights are numbered by first sight, then lane."""
     known = lanes.filter(F.size("polyline") > 0).select(KEY, F.col("element_id").alias("lane_id"), F.get("polyline", F.lit(0)).alias("start"))
     d = detections.join(known, [KEY, "lane_id"]).withColumn("state", F.coalesce(code("status", LIGHT_STATUS), F.lit(LIGHT_STATES["unknown"])))
     per = d.groupBy(KEY, "lane_id", "t").agg(F.max_by("state", "place").alias("state"), F.min("place").alias("place"), F.first("start").alias("start"))
@@ -103,7 +103,7 @@ def lights(detections: DataFrame, lanes: DataFrame, scenarios: DataFrame, centre
     out = per.groupBy(KEY, "lane_id").agg(seen.alias("seen"), F.min(F.struct("t", "place")).alias("at"), F.first("start").alias("start")).join(scenarios.select(KEY, "scenario_length"), KEY).join(centre, KEY)
     each = F.transform(F.sequence(F.lit(0), F.col("scenario_length") - 1), lambda t: F.coalesce(F.try_element_at("seen", t), F.lit(LIGHT_STATES["unknown"])))
     place = F.struct(*((F.col(f"start.{c}") - F.col(f"c{c}")).alias(c) for c in "xyz"))
-    seq = (F.row_number().over(Window.partitionBy(KEY).orderBy("at")) - 1).cast("int")
+    seq = (F.row_number().over(Window.partitionBy(KEY).orderBy("at", "lane_id")) - 1).cast("int")
     return out.select(KEY, F.col("lane_id").alias("light_id"), seq.alias("seq"), place.alias("position"), each.alias("states"), F.col("lane_id").alias("controlled_lane"))
 
 

@@ -383,6 +383,23 @@ def test_map_extraction(spark):
     assert [r[0] for r in near.select(extract.in_corridor(F.col("g"), F.col("e"))).collect()] == [True, False]
 
 
+def test_lights_first_seen_together_are_numbered_by_lane(spark):
+    centre = spark.createDataFrame([(1, 0.0, 0.0, 0.0)], "scenario_id long, cx double, cy double, cz double")
+    lanes = _elements(spark, *((i, 2, _p((i, 0), (i, 9))) for i in range(40)))
+    seen = [(1, i, 0, 0, "red") for i in reversed(range(1, 40))] + [(1, 0, 1, 0, "red")]
+    df = extract.lights(spark.createDataFrame(seen, "scenario_id long, lane_id long, t int, place int, status string"), lanes, _header(spark), centre)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}  # rows come from several partitions, as those of larger tables do
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = df.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r.light_id: r.seq for r in got} == {i: i - 1 for i in range(1, 40)} | {0: 39}
+
+
 def test_types_of_undefined_lanes(spark):
     line = _p((0, 0), (1, 0))
     rows = _elements(spark, _element(1, 0, line, exit_lanes=[2]), _element(2, 0, line, exit_lanes=[3]), _element(3, 2, line), _element(4, 0, line, entry_lanes=[2], exit_lanes=[5]), _element(5, 1, line), _element(6, 0, line), _element(7, 0, line, entry_lanes=[2, 3]))
