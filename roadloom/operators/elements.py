@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import points as P
-from ..functions.polylines import from_points, simplify, to_points
+from ..functions.polylines import from_points, line_distances, simplify, to_points
 from ..schema import DRIVABLE, POINTS, is_edge, is_lane
 
 #: Lane width where it can't be measured, and the widest lane, in metres. Fixed values.
@@ -45,14 +48,25 @@ def process_polylines(elements: DataFrame, longest: float = 10.0, tolerance: flo
 
 def lane_widths(elements: DataFrame, default: float = DEFAULT_WIDTH) -> DataFrame:
     """``width`` of lanes at each vertex: the planar distances to both boundaries together, ``default`` where a boundary is missing or the sum is no positive number, WIDEST at most."""
-    left, right = F.col("left_boundary"), F.col("right_boundary")
-    both = (F.coalesce(F.size(left), F.lit(0)) >= 2) & (F.coalesce(F.size(right), F.lit(0)) >= 2)
-
-    def at(p):
-        wide = P.to_line(left, p) + P.to_line(right, p)
-        return P.let(F.when(both, wide), lambda w: F.least(F.lit(WIDEST), F.when(w.isNotNull() & ~F.isnan(w) & (w > 0) & (w < float("inf")), w).otherwise(default)))
+    lane = is_lane() & F.col("polyline").isNotNull()
 
-    return elements.withColumn("width", F.when(is_lane() & F.col("polyline").isNotNull(), F.transform("polyline", at)).otherwise(F.col("width")))
+    def plane(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flat = lines.flatten()
+        xy = [pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(np.float64) for c in "xy"]
+        return np.stack(xy), pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def widths(polyline: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
+        points, n = plane(polyline)
+        wide = sum(line_distances(points, n, *plane(side)) for side in (left, right))
+        wide = np.where(np.isfinite(wide) & (wide > 0), np.minimum(wide, WIDEST), min(default, WIDEST))
+        empty = np.array(polyline.is_null().to_numpy(zero_copy_only=False), dtype=bool)
+        ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(wide, pa.float64()), mask=pa.array(empty))
+
+    # not deterministic for the optimizer: a filter on the widths, as explode brings one, would work them out again
+    kernel = F.arrow_udf(widths, "array<double>").asNondeterministic()
+    found = kernel(*(F.when(lane, F.col(c)) for c in ("polyline", "left_boundary", "right_boundary")))
+    return elements.withColumn("_width", found).withColumn("width", F.when(lane, F.col("_width")).otherwise(F.col("width"))).drop("_width")
 
 
 def lane_lengths(elements: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def ring_close_densify(s: SparkSession, d: str) -> DataFrame:
 
 def lane_widths(s: SparkSession, d: str) -> DataFrame:
     """Widths of lanes at their vertices."""
-    e = elements.lane_widths(_map(s, d)).filter(schema.is_lane())
+    e = elements.lane_widths(_map(s, d).filter(schema.is_lane()))
     return _round(e.select(KEY, "element_id", F.posexplode("width").alias("pt", "width")), "width")
 
 

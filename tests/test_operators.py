@@ -457,3 +457,36 @@ def test_conversion(spark):
     names = convert.output_names(scenes, "log_name")
     assert {r.scenario_id: r.path for r in names.collect()} == {1: "my_set__l_1__u1.bin", 2: "my_set__l_1__u1.bin", 3: "d__Town_2.bin"} and convert.duplicate_names(names).first().n == 2
     assert convert.exit_code(0, 0) == 0 and convert.exit_code(3, 0) == 1
+
+
+def test_widths_are_worked_out_once_and_as_before(spark, monkeypatch):
+    nan = float("nan")
+    side = [_p((0, 2), (5, 3), (5, 3), (9, 1)), _p((0, -1), (9, -2)), _p((0, 2)), None, [], _p((nan, 1), (3, 4), (5, 6)), [None, *_p((3, 4), (5, 6))], _p((0, 400), (9, 400))]
+    line = _p((0, 0), (4, 1), (20, -7))
+    rows = [_element(10 * i + j, 2, line, left_boundary=a, right_boundary=b) for i, a in enumerate(side) for j, b in enumerate(side)]
+    rows += [_element(100, 11, line, left_boundary=side[0], right_boundary=side[1], width=[1.0]), _element(101, 2, [], left_boundary=side[0], right_boundary=side[1]), _element(102, 2, None, line, width=[2.0]), _element(103, 2, [*line, None, *_p((nan, 0))], left_boundary=side[0], right_boundary=side[1])]
+    df = elements.lane_widths(_elements(spark, *rows))
+
+    def far(p, ends):
+        xy = np.array([(nan, nan) if q is None else (q["x"], q["y"]) for q in ends or []]).reshape(-1, 2)
+        d = polylines.segment_distances(np.array(p), xy[:-1], xy[1:]) if len(xy) > 1 else np.array([nan])
+        return min((x for x in d.tolist() if x == x), default=nan)
+
+    def width(p, a, b):
+        w = far(p, a) + far(p, b)
+        return min(50.0, w) if w > 0 else 3.7
+
+    got = {r.element_id: r.width for r in df.select("element_id", "width").collect()}
+    for i, a in enumerate(side):
+        for j, b in enumerate(side):
+            assert got[10 * i + j] == pytest.approx([width((p["x"], p["y"]), a, b) for p in line], abs=1e-12)
+    assert got[100] == [1.0] and got[101] == [] and got[102] == [2.0] and got[103] == [*got[1], 3.7, 3.7] and set(got[77]) == {50.0}
+    plan = df.select("element_id", F.posexplode("width"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("SQRT") == 0 and plan.count("widths(") == 1
+    rng = np.random.default_rng(5)
+    n, m = np.array([3, 0, 1, 4, 2]), np.array([5, 3, 1, 2, 0])
+    points, lines = rng.normal(size=(2, n.sum())), rng.normal(size=(2, m.sum()))
+    monkeypatch.setattr(polylines, "PAIRS", 5)
+    near = polylines.line_distances(points, n, lines, m)
+    cut = [np.split(x.T, np.cumsum(k)[:-1]) for x, k in ((points, n), (lines, m))]
+    assert near == pytest.approx([far(p, [dict(zip("xy", q, strict=True)) for q in l]) for ps, l in zip(*cut, strict=True) for p in ps.tolist()], nan_ok=True)
