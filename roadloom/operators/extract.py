@@ -13,6 +13,8 @@ from .tracks import nested, scaffold, velocity_fill
 KEY = "scenario_id"
 #: Distance from the ego's path within which map objects are kept, in metres. Fixed value.
 CORRIDOR = 250.0
+#: Segments of a path that are held against an object together, and the slack in metres with which rounding can't decide. Fixed values.
+PIECE, SLACK = 8, 1.0
 #: Layers that a map is read from. Fixed values.
 LAYERS = ("lane", "road_line", "road_edge", "crosswalk", "stop_zone")
 _NO_POINTS = "array<struct<x:double,y:double,z:double>>"
@@ -134,6 +136,37 @@ def in_corridor(geometry: Column, path: Column, reach: float = CORRIDOR) -> Colu
     return F.exists(geometry, lambda p: near(path, p) <= reach) | F.exists(path, lambda p: near(geometry, p) <= reach)
 
 
+def _box(points: Column) -> Column:
+    """Least and greatest x and y of points."""
+    return F.struct(*(f(points[c]).alias(n + c) for c in "xy" for n, f in (("lo_", F.array_min), ("hi_", F.array_max))))
+
+
+def _apart(a: Column, b: Column, reach: float) -> Column:
+    """Whether two boxes are further apart than ``reach`` in x or in y; a box without a place isn't."""
+    gap = lambda c: F.greatest(a[f"lo_{c}"] - b[f"hi_{c}"], b[f"lo_{c}"] - a[f"hi_{c}"])
+    over = lambda d: F.coalesce((d > reach) & ~F.isnan(d), F.lit(False))
+    return over(gap("x")) | over(gap("y"))
+
+
+def corridor(objects: DataFrame, paths: DataFrame, reach: float = CORRIDOR) -> DataFrame:
+    """``objects`` (scenario_id, points, ...) that are ``in_corridor`` of their scenario's path (scenario_id, path).
+
+    The path is cut into pieces that share their ends. Objects clearly out of reach by their boxes, and those with a vertex
+    clearly within reach of a piece's start, are settled without distances to segments; only the rest are measured, piece by piece.
+    """
+    starts = F.sequence(F.lit(0), F.greatest(F.size("path") - 2, F.lit(0)), F.lit(PIECE))
+    pieces = F.transform(starts, lambda i: F.slice("path", i + 1, PIECE + 1))
+    pieces = F.transform(pieces, lambda p: F.struct(p.alias("line"), _box(p).alias("box")))
+    p = paths.filter(F.size("path") > 0).select(KEY, _box(F.col("path")).alias("_box"), pieces.alias("_pieces"))
+    geometry, box = F.col("points"), _box(F.col("points"))
+
+    def near(piece: Column) -> Column:
+        sure = F.exists(geometry, lambda v: P.distance(piece["line"][0], v, P.PLANE) <= reach - SLACK)
+        return ~_apart(box, piece["box"], reach + SLACK) & (F.coalesce(sure, F.lit(False)) | in_corridor(geometry, piece["line"], reach))
+
+    return objects.join(p, KEY).filter(~_apart(box, F.col("_box"), reach + SLACK) & F.exists("_pieces", near)).select(*objects.columns)
+
+
 def raw_elements(objects: DataFrame, centre: DataFrame) -> DataFrame:
     """Lanes, lines, edges and crosswalks of raw map objects (layer, object_id, kind, points, ...) about the scenario's centre; objects of unknown kinds go."""
     layer = F.lower("layer")

@@ -149,8 +149,7 @@ def corridor_map_filter(s: SparkSession, d: str) -> DataFrame:
     first = states.groupBy(KEY).agg(F.min("track_id").alias("track_id"))
     path = F.transform(F.array_sort(F.collect_list(F.struct("t", "x", "y", "z"))), lambda p: F.struct(p["x"], p["y"], p["z"]))
     ego = states.join(first, [KEY, "track_id"], "left_semi").groupBy(KEY).agg(path.alias("path"))
-    e = bridge.elements(s, d).join(ego, KEY)
-    return e.filter(extract.in_corridor(F.col("points"), F.col("path"))).select(KEY, "element_id")
+    return extract.corridor(bridge.elements(s, d), ego).select(KEY, "element_id")
 
 
 def topology_swap_refs(s: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from roadloom import schema
+from roadloom import scene_queries, schema
 from roadloom.functions import codec, polylines, routes, zones
 from roadloom.functions import points as P
 from roadloom.operators import affine, controls, elements, extract, graph, overlap, refs, tracks, validation, viewer
@@ -490,3 +490,23 @@ def test_widths_are_worked_out_once_and_as_before(spark, monkeypatch):
     near = polylines.line_distances(points, n, lines, m)
     cut = [np.split(x.T, np.cumsum(k)[:-1]) for x, k in ((points, n), (lines, m))]
     assert near == pytest.approx([far(p, [dict(zip("xy", q, strict=True)) for q in l]) for ps, l in zip(*cut, strict=True) for p in ps.tolist()], nan_ok=True)
+
+
+def test_corridor_in_pieces_equals_whole_paths(spark):
+    rng, nan = np.random.default_rng(3), float("nan")
+    paths = [(k, _p(*np.cumsum(rng.normal(scale=0.4, size=(n, 2)), axis=0).tolist())) for k, n in enumerate((1, 2, 8, 9, 10, 17, 40))]
+    paths += [(7, []), (8, None), (9, _p((nan, 0), (0, 0), (1, nan), (4, 0))), (10, [None, *_p((0, 0), (90, 0))]), (11, _p((-50, 3), (50, 3)))]
+    objects = [(k, i, _p(*(rng.normal(scale=6, size=2) + rng.normal(size=(n, 2))).tolist())) for k in range(13) for i, n in enumerate([1, 2, 3, 6] * 20)]
+    objects += [(k, 100 + i, o) for k in range(13) for i, o in enumerate(([], None, _p((0, 0), (nan, 2)), [None, *_p((1, 1), (2, 2))], _p((-400, 0), (400, 0)), _p((-400, 9), (400, 9)), _p((3, 0), (4, 0)), _p((4.5, 0), (5, 0))))]
+    o = spark.createDataFrame(objects, f"scenario_id int, element_id int, points {schema.POINTS}")
+    p = spark.createDataFrame(paths, f"scenario_id int, path {schema.POINTS}")
+    for reach in (3.0, 0.5):
+        want = {(r.scenario_id, r.element_id) for r in o.join(p, "scenario_id").filter(extract.in_corridor(F.col("points"), F.col("path"), reach)).collect()}
+        got = extract.corridor(o, p, reach)
+        rows = [(r.scenario_id, r.element_id) for r in got.collect()]
+        assert got.columns == o.columns and set(rows) == want and 0 < len(rows) == len(want) < o.count()
+
+
+def test_corridor_query_settles_by_boxes_first(spark):
+    plan = scene_queries.corridor_map_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert -1 < plan.find("array_max(points") < plan.find("SQRT")
