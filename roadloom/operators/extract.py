@@ -152,19 +152,28 @@ def corridor(objects: DataFrame, paths: DataFrame, reach: float = CORRIDOR) -> D
     """``objects`` (scenario_id, points, ...) that are ``in_corridor`` of their scenario's path (scenario_id, path).
 
     The path is cut into pieces that share their ends. Objects clearly out of reach by their boxes, and those with a vertex
-    clearly within reach of a piece's start, are settled without distances to segments; only the rest are measured, piece by piece.
+    clearly within reach of one of the path, are settled without distances to segments; only the rest are measured, piece by piece.
     """
     starts = F.sequence(F.lit(0), F.greatest(F.size("path") - 2, F.lit(0)), F.lit(PIECE))
     pieces = F.transform(starts, lambda i: F.slice("path", i + 1, PIECE + 1))
     pieces = F.transform(pieces, lambda p: F.struct(p.alias("line"), _box(p).alias("box")))
-    p = paths.filter(F.size("path") > 0).select(KEY, _box(F.col("path")).alias("_box"), pieces.alias("_pieces"))
+    size = F.size("path")
+    marks = [F.get("path", k).alias(f"_mark{i}") for i, k in enumerate((F.lit(0), F.floor(size / 2).cast("int"), size - 1))]
+    p = paths.filter(size > 0).select(KEY, _box(F.col("path")).alias("_box"), *marks, pieces.alias("_pieces"))
     geometry, box = F.col("points"), _box(F.col("points"))
 
-    def near(piece: Column) -> Column:
-        sure = F.exists(geometry, lambda v: P.distance(piece["line"][0], v, P.PLANE) <= reach - SLACK)
-        return ~_apart(box, piece["box"], reach + SLACK) & (F.coalesce(sure, F.lit(False)) | in_corridor(geometry, piece["line"], reach))
+    close = lambda a, b: F.coalesce(P.distance(a, b, P.PLANE) <= reach - SLACK, F.lit(False))
 
-    return objects.join(p, KEY).filter(~_apart(box, F.col("_box"), reach + SLACK) & F.exists("_pieces", near)).select(*objects.columns)
+    def near(piece: Column) -> Column:
+        sure = F.exists(geometry, lambda v: close(piece["line"][0], v))
+        return ~_apart(box, piece["box"], reach + SLACK) & (sure | in_corridor(geometry, piece["line"], reach))
+
+    # ends of the object against three vertices of the path come first, as they need no lambda
+    sure = F.lit(False)
+    for i in range(len(marks)):
+        for end in (F.lit(0), F.size(geometry) - 1):
+            sure = sure | close(F.col(f"_mark{i}"), F.get(geometry, end))
+    return objects.join(p, KEY).filter(~_apart(box, F.col("_box"), reach + SLACK) & (sure | F.exists("_pieces", near))).select(*objects.columns)
 
 
 def raw_elements(objects: DataFrame, centre: DataFrame) -> DataFrame:
